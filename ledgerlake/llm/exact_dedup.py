@@ -118,16 +118,16 @@ def _own(largest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[int, PatriciaTrie] = {}  # one subtree for each length
         rows: list[tuple] = []
-        order: dict[tuple[int, int], int] = {}
+        order: dict[int, dict[int, int]] = {}
         records: dict[int, list] = {}
+        held = 0
 
         def spill(lengths) -> None:
             for n in list(lengths):
                 for h, t, owner, size, sha in records.pop(n, ()):
                     rows.append((1, n, h, t, None, owner, size, sha))
                 tries.pop(n, None)
-                for key in [k for k in order if k[0] == n]:
-                    del order[key]
+                order.pop(n, None)
 
         def out() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), TRIE)], schema=TRIE)
@@ -137,17 +137,21 @@ def _own(largest: bool):
         for batch in batches:
             for n, h, text, members in zip(*(batch.column(c).to_pylist() for c in FOLDED.names)):
                 if n not in tries:
-                    if sum(t.bytes for t in tries.values()) > SPILL_BYTES:
+                    if held > SPILL_BYTES:
                         spill(tries)
+                        held = 0
                     tries[n] = PatriciaTrie()
 
                 def make(n=n, h=h, text=text):
-                    order[n, h] = order.get((n, h), -1) + 1
-                    record = [h, order[n, h], None, 0, hashlib.sha256(text).hexdigest()]
+                    seen = order.setdefault(n, {})
+                    seen[h] = seen.get(h, -1) + 1
+                    record = [h, seen[h], None, 0, hashlib.sha256(text).hexdigest()]
                     records.setdefault(n, []).append(record)
                     return record
 
+                before = tries[n].bytes
                 record = tries[n].at(text, make)
+                held += tries[n].bytes - before
                 for i in members:
                     if i is not None and (record[2] is None or better(i, record[2])):
                         record[2] = i

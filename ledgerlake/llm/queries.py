@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .ngram_join import op1_ngram_jaccard
+from .piece_bpe import op4_piece_bpe
+from .substring_dedup import op6_substring_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_piece_bpe": op4_piece_bpe,
+    "op6_substring_dedup": op6_substring_dedup,
 }
 
 ORACLE_SQL = {

@@ -117,10 +117,14 @@ def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, U64)
+    if width > 8:  # a sum with a power of the base for each position, from running totals
+        p, inv = _powers(len(words) + 1)
+        total = np.zeros(len(words) + 1, U64)
+        np.cumsum(words * p[: len(words)], out=total[1:])
+        return mix((total[width:] - total[:-width]) * inv[:n] + U64(width))
     h = np.zeros(n, U64)
     for k in range(width):
-        # a second multiplication round for widths beyond the table keeps positions apart
-        h += mix(words[k : k + n] + POSITION[k % 64] * U64(k // 64 + 1)) if width > 64 else words[k : k + n] * POSITION[k]
+        h += words[k : k + n] * POSITION[k]
     return mix(h + U64(width))
 
 
