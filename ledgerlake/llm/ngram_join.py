@@ -8,17 +8,20 @@ Documents are sets of five-word shingles; two link at Jaccard >= 3/4.  Plan:
    Shingles met twice in one block are known as shared there and sent on once,
    so a shingle in a third of all documents costs a bucket one entry a block.
 2. *Classes.*  Alive documents with equal sets form one class; only one
-   representative goes on.
+   representative goes on, and step 1 is repeated among representatives: copies no
+   longer count as partners, and m, the shared shingles of a set, bounds every
+   overlap that it can have.
 3. *Several global orders.*  Order k puts shingles by (frequency if among the
    ``HOT_TOKENS`` most frequent, else 0; hash under seed k).  Any total order is
    valid, so the bound on that table costs no result.  The prefix of a set of n
    shingles holds its n - ceil(3n/4) + 1 first; linked sets share a prefix
    shingle under *each* order.
-4. *Candidates.*  Posting lists of order 0 first give star pairs (each member
-   with one hub a list), whose verified links merge most of a large group of
-   near copies; then all pairs of list members whose stars differ.  Pairs keep
-   only if sizes, and the prefixes under every further order, agree; then the
-   full sets are intersected.
+4. *Candidates.*  Posting lists of order 0 first give star pairs of each member
+   with one hub a list: the set with the largest share of shared shingles, which
+   in a group of near copies lies nearest to their common origin.  Their verified
+   links merge such groups; then come pairs of list members whose stars differ.
+   Pairs keep only if sizes, m and the prefixes under every further order agree;
+   then the full sets are intersected.
 5. Components of the links by label propagation.
 
 Sixty-four-bit hashes stand for shingles.  Null or empty texts have no shingles
@@ -79,6 +82,29 @@ def _send(buckets: int):
     return run
 
 
+def _send_sets(buckets: int):
+    """The same from classes: their keys stand for the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            sets = [np.frombuffer(x, U64) for x in batch.column("tokens").to_pylist()]
+            ck = batch.column("ck").to_numpy()
+            for i in range(0, len(sets), 500):
+                own = sets[i : i + 500]
+                n = np.array([len(x) for x in own])
+                held.append((np.concatenate(own), np.repeat(np.arange(len(own)), n), n, ck[i : i + 500], ck[i : i + 500]))
+                size += n.sum()
+                if size >= SEND_AT:
+                    yield _blobs(held, buckets)
+                    held, size = [], 0
+        if held:
+            yield _blobs(held, buckets)
+
+    return run
+
+
 def _blobs(held: list[tuple], buckets: int) -> pa.RecordBatch:
     """One row for each bucket that gets shingles, and one that carries the documents themselves."""
     base = np.cumsum([0] + [len(x[2]) for x in held])
@@ -129,7 +155,7 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def _alive(table: pa.Table) -> pa.Table:
-    """Of one block: rk, doc_id, n of its documents and whether 3/4 of their shingles are shared."""
+    """Of one block: rk, doc_id, n of its documents, m shared shingles of each, and whether these are 3/4."""
     outs = []
     own = [x for x in table.to_pylist() if x["rk"] is not None]
     for x in own[:1]:
@@ -140,9 +166,11 @@ def _alive(table: pa.Table) -> pa.Table:
         if hits:
             got = np.concatenate(hits)
             shared += np.bincount(got[got < len(n)], minlength=len(n))
-        alive = (n > 0) & ((shared >= -(-3 * n // 4)) | (len(own) > 1))
-        outs += [pa.table({"rk": rk, "doc_id": did, "n": n, "alive": alive})] * len(own)
-    return pa.concat_tables(outs) if outs else pa.table({"rk": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "n": pa.array([], pa.int32()), "alive": pa.array([], pa.bool_())})
+        if len(own) > 1:
+            shared = n.astype(np.int64)
+        alive = (n > 0) & (shared >= -(-3 * n // 4))
+        outs += [pa.table({"rk": rk, "doc_id": did, "n": n, "m": shared.astype(np.int32), "alive": alive})] * len(own)
+    return pa.concat_tables(outs) if outs else pa.table({"rk": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "n": pa.array([], pa.int32()), "m": pa.array([], pa.int32()), "alive": pa.array([], pa.bool_())})
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,11 +226,13 @@ class Orders:
 def _postings(orders: Orders):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ck, n, sets = batch.column("ck").to_numpy(), batch.column("n").to_numpy(), batch.column("tokens").to_pylist()
+            ck, n, m, sets = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("ck", "n", "m", "tokens"))
             for i in range(0, len(sets), 500):
-                got = [orders.prefix(np.frombuffer(x, U64), 0) for x in sets[i : i + 500]]
-                m = np.array([len(x) for x in got])
-                yield pa.RecordBatch.from_pydict({"token": np.concatenate(got).astype(np.int64), "ck": np.repeat(ck[i : i + 500], m), "n": np.repeat(n[i : i + 500], m), "pos": (np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)).astype(np.int32)})
+                own = slice(i, i + 500)
+                got = [orders.prefix(np.frombuffer(x, U64), 0) for x in sets[own]]
+                p = np.array([len(x) for x in got])
+                spread = {name: np.repeat(x[own], p) for name, x in (("ck", ck), ("n", n), ("m", m))}
+                yield pa.RecordBatch.from_pydict({"token": np.concatenate(got).astype(np.int64), **spread, "pos": (np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)).astype(np.int32)})
 
     return run
 
@@ -236,35 +266,40 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     buckets = bucket_count(spark, keyed)
     blobs = keyed.mapInArrow(_send(buckets), BLOB_SQL)
     answers = written(spark, blobs.groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens"), "answers")
-    profile = written(spark, answers.groupBy("cid").applyInArrow(_alive, "rk long, doc_id long, n int, alive boolean"), "profile")
+    profile_sql = "rk long, doc_id long, n int, m int, alive boolean"
+    profile = written(spark, answers.groupBy("cid").applyInArrow(_alive, profile_sql), "profile")
     alive = profile.where("alive").select("rk").distinct()
     sets = written(spark, keyed.join(alive, "rk", "left_semi").select("rk", "doc_id", "text").mapInArrow(_sets, SET_SQL), "sets")
     members = sets.select("rk", "doc_id", "ck")
-    classes = sets.groupBy("ck").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.count("*").alias("size"), F.min("doc_id").alias("low"))
+    classes = sets.groupBy("ck").agg(F.first("tokens").alias("tokens"), F.min("doc_id").alias("low"))
     classes = written(spark, classes, "classes")
+    answers = classes.mapInArrow(_send_sets(buckets), BLOB_SQL).groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens")
+    partners = written(spark, answers, "answers").groupBy("cid").applyInArrow(_alive, profile_sql).where("alive").select(F.col("rk").alias("ck"), "n", "m").distinct()
+    near = written(spark, classes.select("ck", "tokens").join(partners, "ck"), "near")
 
-    hot = classes.select("tokens").mapInArrow(_counts, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(HOT_TOKENS).toPandas()
+    hot = near.select("tokens").mapInArrow(_counts, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(HOT_TOKENS).toPandas()
     orders = Orders(hot["token"].to_numpy(np.int64).astype(U64), hot["c"].to_numpy(np.int64))
-    postings = written(spark, classes.select("ck", "n", "tokens").mapInArrow(_postings(orders), "token long, ck long, n int, pos int"), "postings")
+    postings = written(spark, near.mapInArrow(_postings(orders), "token long, ck long, n int, m int, pos int"), "postings")
     lists = postings.groupBy("token").agg(F.min("ck").alias("low"), F.max("ck").alias("high")).where("low < high")
     postings = written(spark, postings.join(lists.select("token"), "token", "left_semi"), "shared")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        s = classes.select("ck", "tokens")
+        s = near.select("ck", "tokens")
         both = pairs.join(s.select(F.col("ck").alias("a"), F.col("tokens").alias("sa")), "a").join(s.select(F.col("ck").alias("b"), F.col("tokens").alias("sb")), "b")
         return written(spark, both.mapInPandas(_verify(orders), "a long, b long"), name)
 
-    size_ok = F.expr("4 * least(n, hub_n) >= 3 * greatest(n, hub_n)")
+    size_ok = F.expr("7 * least(m, hub_m) >= 3 * (n + hub_n)")
     links, label = None, None
     for turn in range(STAR_ROUNDS):
-        # the hub of a list: its first, then its last member by a fixed rank of classes
-        rank = F.struct(F.xxhash64("ck", F.lit(turn)), F.col("ck"), F.col("n"))
+        # first the set nearest to the origin of a list, then any other by hash
+        first = -F.col("m") / F.col("n") if turn == 0 else F.xxhash64("ck").cast("double")
+        rank = F.struct(first.alias("first"), "ck", "n", "m")
         here = postings
         if label is not None:
             here = here.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck"))
             open_lists = here.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
             here = here.join(open_lists, "token", "left_semi")
-        hubs = here.groupBy("token").agg(F.min(rank).alias("hub")).select("token", F.col("hub.ck").alias("hub"), F.col("hub.n").alias("hub_n"))
+        hubs = here.groupBy("token").agg(F.min(rank).alias("hub")).select("token", F.col("hub.ck").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.m").alias("hub_m"))
         star = here.join(hubs, "token").where((F.col("ck") != F.col("hub")) & size_ok)
         star = star.select(F.least("ck", "hub").alias("a"), F.greatest("ck", "hub").alias("b")).distinct()
         found = verified(star, "star")
@@ -273,9 +308,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tagged = written(spark, postings.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck")), "tagged")
     open_lists = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
     left = tagged.join(open_lists, "token", "left_semi")
-    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("ck", "n", "pos", "label")])
+    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("ck", "n", "m", "pos", "label")])
     # positional filter: what can still follow the shared shingle must reach the required overlap
-    rest = left.join(right, "token").where("label <> label_b and ck < ck_b and 4 * least(n, n_b) >= 3 * greatest(n, n_b) and 7 * (1 + least(n - pos, n_b - pos_b) - 1 + least(pos, pos_b)) >= 3 * (n + n_b)")
+    rest = left.join(right, "token").where("label <> label_b and ck < ck_b and 7 * least(m, m_b) >= 3 * (n + n_b) and 7 * (1 + least(n - pos, n_b - pos_b) - 1 + least(pos, pos_b)) >= 3 * (n + n_b)")
     found = verified(rest.select(F.col("ck").alias("a"), F.col("ck_b").alias("b")).distinct(), "rest")
     label = components(spark, links.union(found)).withColumnRenamed("node", "ck")
 
