@@ -5,12 +5,16 @@ from __future__ import annotations
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .ngram_join import op1_ngram_jaccard
 from .piece_bpe import op4_piece_bpe
+from .quality import op5_quality
 from .substring_dedup import op6_substring_dedup
+from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_piece_bpe": op4_piece_bpe,
+    "op5_quality": op5_quality,
     "op6_substring_dedup": op6_substring_dedup,
 }
 
