@@ -20,8 +20,12 @@ Documents are sets of five-word shingles; two link at Jaccard >= 3/4.  Plan:
    with one hub a list: the set with the largest share of shared shingles, which
    in a group of near copies lies nearest to their common origin.  Their verified
    links merge such groups; then come pairs of list members whose stars differ.
-   Pairs keep only if sizes, m and the prefixes under every further order agree;
-   then the full sets are intersected.
+   Those are judged inside the join, so that a large group whose members mostly
+   miss the threshold emits few rows: a pair passes at its first common prefix
+   shingle only, and only if m, the positions and ``BITS``-bit parity maps (which
+   never differ in more places than the sets) leave room for the overlap.  Pairs
+   that pass keep if their prefixes under every further order meet; then the full
+   sets are intersected.
 5. Components of the links by label propagation.
 
 Sixty-four-bit hashes stand for shingles.  Null or empty texts have no shingles
@@ -49,6 +53,8 @@ ORDERS = 3
 #: Shingles a mapper holds before it sends them to buckets.
 SEND_AT = 1 << 20
 STAR_ROUNDS = 2
+#: Bits of a set's parity map: bit b is the parity of the number of its shingles with hash b.
+BITS = 1024
 
 BLOB = pa.schema([("bucket", pa.int32()), ("cid", pa.int64()), ("tokens", pa.binary()), ("docs", pa.binary()), ("rk", pa.binary()), ("did", pa.binary()), ("n", pa.binary())])
 BLOB_SQL = "bucket int, cid long, tokens binary, docs binary, rk binary, did binary, n binary"
@@ -237,6 +243,27 @@ def _postings(orders: Orders):
     return run
 
 
+def _rich_postings(orders: Orders):
+    """Prefix postings with what decides about a pair inside the join: parity map and the shingles before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ck, n, m, label, sets = (batch.column(c).to_pylist() for c in ("ck", "n", "m", "label", "tokens"))
+            for i in range(0, len(sets), 100):
+                rows = []
+                for k in range(i, min(i + 100, len(sets))):
+                    tokens = np.frombuffer(sets[k], U64)
+                    parity = np.bincount((mix(tokens ^ _SEEDS[7]) % U64(BITS)).astype(np.int64), minlength=BITS) % 2
+                    bits = np.packbits(parity.astype(np.uint8)).view(np.int64)
+                    prefix = orders.prefix(tokens, 0).astype(np.int64)
+                    rows += [(int(t), ck[k], n[k], m[k], label[k], j, bits, prefix[:j]) for j, t in enumerate(prefix)]
+                columns = list(zip(*rows))
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["token", "ck", "n", "m", "label", "pos", "bits", "early"])
+
+    return run
+
+
 def _verify(orders: Orders):
     """Pairs with both sets: prefix filter under the further orders, then the intersection itself."""
 
@@ -307,10 +334,21 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
         label = written(spark, star_labels(links), "stars").withColumnRenamed("node", "ck")
     tagged = written(spark, postings.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck")), "tagged")
     open_lists = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
-    left = tagged.join(open_lists, "token", "left_semi")
-    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("ck", "n", "m", "pos", "label")])
-    # positional filter: what can still follow the shared shingle must reach the required overlap
-    rest = left.join(right, "token").where("label <> label_b and ck < ck_b and 7 * least(m, m_b) >= 3 * (n + n_b) and 7 * (1 + least(n - pos, n_b - pos_b) - 1 + least(pos, pos_b)) >= 3 * (n + n_b)")
+    open_lists = written(spark, open_lists, "open")
+    open_sets = tagged.join(open_lists, "token", "left_semi").select("ck", "label").distinct()
+    rich = near.join(open_sets, "ck").select("ck", "n", "m", "label", "tokens")
+    rich = rich.mapInArrow(_rich_postings(orders), "token long, ck long, n int, m int, label long, pos int, bits array<long>, early array<long>")
+    left = written(spark, rich.join(open_lists, "token", "left_semi"), "rich")
+    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("ck", "n", "m", "label", "pos", "bits", "early")])
+    differ = " + ".join(f"bit_count(bits[{k}] ^ bits_b[{k}])" for k in range(BITS // 64))
+    rest = left.join(
+        right.withColumnRenamed("token", "token_b"),
+        F.expr(
+            "token = token_b and ck < ck_b and label <> label_b and 7 * least(m, m_b) >= 3 * (n + n_b)"
+            " and 7 * (least(n - pos, n_b - pos_b) + least(pos, pos_b)) >= 3 * (n + n_b)"
+            f" and 7 * ({differ}) <= n + n_b and not arrays_overlap(early, early_b)"
+        ),
+    )
     found = verified(rest.select(F.col("ck").alias("a"), F.col("ck_b").alias("b")).distinct(), "rest")
     label = components(spark, links.union(found)).withColumnRenamed("node", "ck")
 
