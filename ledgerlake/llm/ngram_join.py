@@ -48,7 +48,9 @@ from .tables import bucket_count, with_row_key, written
 from .textblocks import U64, blocks, mix, shingle_sets, split_points
 
 NO_ID = 2**63 - 1
-HOT_TOKENS = 65_536
+HOT_TOKENS = 32_768
+#: Counts from which a shingle can be among them: keeps what a task sends for the ranking small.
+HOT_FROM = 8
 ORDERS = 3
 #: Shingles a mapper holds before it sends them to buckets.
 SEND_AT = 1 << 20
@@ -304,7 +306,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     partners = written(spark, answers, "answers").groupBy("cid").applyInArrow(_alive, profile_sql).where("alive").select(F.col("rk").alias("ck"), "n", "m").distinct()
     near = written(spark, classes.select("ck", "tokens").join(partners, "ck"), "near")
 
-    hot = near.select("tokens").mapInArrow(_counts, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(HOT_TOKENS).toPandas()
+    hot = near.select("tokens").mapInArrow(_counts, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= HOT_FROM).orderBy(F.desc("c"), "token").limit(HOT_TOKENS).toPandas()
     orders = Orders(hot["token"].to_numpy(np.int64).astype(U64), hot["c"].to_numpy(np.int64))
     postings = written(spark, near.mapInArrow(_postings(orders), "token long, ck long, n int, m int, pos int"), "postings")
     lists = postings.groupBy("token").agg(F.min("ck").alias("low"), F.max("ck").alias("high")).where("low < high")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op9_decontamination
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .ngram_join import op1_ngram_jaccard
 from .piece_bpe import op4_piece_bpe
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_piece_bpe": op4_piece_bpe,
     "op5_quality": op5_quality,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL = {

@@ -37,6 +37,8 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 #: Entries of the learned lexicons, at most, and what an entry must have seen besides a likelihood beyond chance.
 LEXICON, MIN_TOXIC, MIN_SHARE = 4096, 4, 0.75
+#: Rows without hits and rows full of them that always join the sample.
+ANCHORS = 30
 #: Bytes of the word beginnings that lexicons are learned of; words must be longer by two.
 BEGINNINGS = (4, 5, 6)
 
@@ -278,7 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     got = rows.select("text").mapInArrow(_features(fixed, learned), "x array<double>").toPandas()["x"]
     x = np.stack([np.array(r) for r in got]) if len(got) else np.zeros((1, len(FEATURES)))
     # texts without and with hits are always there, so that neither class is empty
-    x = np.vstack([x, np.zeros((4, len(FEATURES))), np.tile([50.0] + [4.0] * (len(FEATURES) - 1), (4, 1))])
+    full = [50.0 if name == "words" else 0.0 if name.startswith(("learned", "begin")) and not len(learned) else 4.0 for name in FEATURES]
+    x = np.vstack([x, np.zeros((ANCHORS, len(FEATURES))), np.tile(full, (ANCHORS, 1))])
     v = votes(x, len(learned) > 0)
     model = fit_label_model(v)
     return ToxicityModel(fixed, learned, model, fit_logistic(design(x), model.posterior(v)))
