@@ -289,9 +289,11 @@ def _verify(orders: Orders):
     return run
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` -> (rk, doc_id, n_shingles, component_id); see the module's text for the cases."""
-    keyed = with_row_key(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rk, doc_id, text), rk deciding doc_id and text -> all rows as (rk, doc_id, n), and (rk, label) of those in a group.
+
+    Rows of one label are connected by links; rows in no group link with none.
+    """
     buckets = bucket_count(spark, keyed)
     blobs = keyed.mapInArrow(_send(buckets), BLOB_SQL)
     answers = written(spark, blobs.groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens"), "answers")
@@ -299,8 +301,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     profile = written(spark, answers.groupBy("cid").applyInArrow(_alive, profile_sql), "profile")
     alive = profile.where("alive").select("rk").distinct()
     sets = written(spark, keyed.join(alive, "rk", "left_semi").select("rk", "doc_id", "text").mapInArrow(_sets, SET_SQL), "sets")
-    members = sets.select("rk", "doc_id", "ck")
-    classes = sets.groupBy("ck").agg(F.first("tokens").alias("tokens"), F.min("doc_id").alias("low"))
+    members = sets.select("rk", "ck")
+    classes = sets.groupBy("ck").agg(F.first("tokens").alias("tokens"))
     classes = written(spark, classes, "classes")
     answers = classes.mapInArrow(_send_sets(buckets), BLOB_SQL).groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens")
     partners = written(spark, answers, "answers").groupBy("cid").applyInArrow(_alive, profile_sql).where("alive").select(F.col("rk").alias("ck"), "n", "m").distinct()
@@ -354,12 +356,18 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = verified(rest.select(F.col("ck").alias("a"), F.col("ck_b").alias("b")).distinct(), "rest")
     label = components(spark, links.union(found)).withColumnRenamed("node", "ck")
 
-    named = classes.select("ck", "low").join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck"))
-    lowest = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    by_class = named.join(lowest, "label").select("ck", "component_id")
-    by_row = members.join(by_class, "ck").select("rk", "component_id").distinct()
-    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return profile.join(by_row, "rk", "left").select("rk", back("doc_id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.coalesce("component_id", "doc_id") != NO_ID, F.coalesce("component_id", "doc_id")).alias("component_id"))
+    named = classes.select("ck").join(label, "ck", "left").select("ck", F.coalesce("label", "ck").alias("label"))
+    return profile.select("rk", "doc_id", "n"), members.select("rk", "ck").distinct().join(named, "ck").select("rk", "label")
+
+
+def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` -> (rk, doc_id, n_shingles, component_id); see the module's text for the cases."""
+    keyed = with_row_key(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows, groups = jaccard_groups(spark, keyed)
+    rows = rows.join(groups, "rk", "left")
+    lowest = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("low"))
+    found = F.coalesce("low", "doc_id")
+    return rows.join(lowest, "label", "left").select("rk", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(found != NO_ID, found).alias("component_id"))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

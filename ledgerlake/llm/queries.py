@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from .decontamination import op9_decontamination
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .licenses import op10_licenses
+from .line_dedup import op8_line_dedup
 from .ngram_join import op1_ngram_jaccard
+from .personal_data import op7_personal_data
 from .piece_bpe import op4_piece_bpe
 from .quality import op5_quality
 from .substring_dedup import op6_substring_dedup
@@ -17,7 +20,10 @@ QUERIES = {
     "op4_piece_bpe": op4_piece_bpe,
     "op5_quality": op5_quality,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_personal_data": op7_personal_data,
+    "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQL = {
