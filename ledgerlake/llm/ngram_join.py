@@ -22,7 +22,7 @@ Documents are sets of five-word shingles; two link at Jaccard >= 3/4.  Plan:
    links merge such groups; then come pairs of list members whose stars differ.
    Those are judged inside the join, so that a large group whose members mostly
    miss the threshold emits few rows: a pair passes at its first common prefix
-   shingle only, and only if m, the positions and ``BITS``-bit parity maps (which
+   shingle only (told by 32-bit hashes of those before), and only if m, the positions and ``BITS``-bit parity maps (which
    never differ in more places than the sets) leave room for the overlap.  Pairs
    that pass keep if their prefixes under every further order meet; then the full
    sets are intersected.
@@ -245,25 +245,22 @@ def _postings(orders: Orders):
     return run
 
 
-def _rich_postings(orders: Orders):
-    """Prefix postings with what decides about a pair inside the join: parity map and the shingles before."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ck, n, m, label, sets = (batch.column(c).to_pylist() for c in ("ck", "n", "m", "label", "tokens"))
-            for i in range(0, len(sets), 100):
-                rows = []
-                for k in range(i, min(i + 100, len(sets))):
-                    tokens = np.frombuffer(sets[k], U64)
-                    parity = np.bincount((mix(tokens ^ _SEEDS[7]) % U64(BITS)).astype(np.int64), minlength=BITS) % 2
-                    bits = np.packbits(parity.astype(np.uint8)).view(np.int64)
-                    prefix = orders.prefix(tokens, 0).astype(np.int64)
-                    rows += [(int(t), ck[k], n[k], m[k], label[k], j, bits, prefix[:j]) for j, t in enumerate(prefix)]
-                columns = list(zip(*rows))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["token", "ck", "n", "m", "label", "pos", "bits", "early"])
-
-    return run
+def _rich_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open prefix postings with what decides about a pair inside the join: parity map and the open shingles before."""
+    for batch in batches:
+        ck, n, m, label, sets, spots, opens = (batch.column(c).to_pylist() for c in ("ck", "n", "m", "label", "tokens", "pos", "open"))
+        for i in range(0, len(sets), 200):
+            rows = []
+            for k in range(i, min(i + 200, len(sets))):
+                tokens = np.frombuffer(sets[k], U64)
+                parity = np.bincount((mix(tokens ^ _SEEDS[7]) % U64(BITS)).astype(np.int64), minlength=BITS) % 2
+                bits = np.packbits(parity.astype(np.uint8)).view(np.int64)
+                small = np.array(opens[k], np.int64).astype(U64)
+                small = mix(small ^ _SEEDS[6]).astype(np.uint32).view(np.int32)
+                rows += [(t, ck[k], n[k], m[k], label[k], spots[k][j], bits, small[:j]) for j, t in enumerate(opens[k])]
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=["token", "ck", "n", "m", "label", "pos", "bits", "early"])
 
 
 def _verify(orders: Orders):
@@ -339,10 +336,10 @@ def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, Da
     tagged = written(spark, postings.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck")), "tagged")
     open_lists = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
     open_lists = written(spark, open_lists, "open")
-    open_sets = tagged.join(open_lists, "token", "left_semi").select("ck", "label").distinct()
-    rich = near.join(open_sets, "ck").select("ck", "n", "m", "label", "tokens")
-    rich = rich.mapInArrow(_rich_postings(orders), "token long, ck long, n int, m int, label long, pos int, bits array<long>, early array<long>")
-    left = written(spark, rich.join(open_lists, "token", "left_semi"), "rich")
+    own = tagged.join(open_lists, "token", "left_semi").groupBy("ck", "n", "m", "label").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("own"))
+    own = own.select("ck", "n", "m", "label", F.col("own.pos").alias("pos"), F.col("own.token").alias("open"))
+    rich = near.select("ck", "tokens").join(own, "ck").mapInArrow(_rich_postings, "token long, ck long, n int, m int, label long, pos int, bits array<long>, early array<int>")
+    left = written(spark, rich, "rich")
     right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("ck", "n", "m", "label", "pos", "bits", "early")])
     differ = " + ".join(f"bit_count(bits[{k}] ^ bits_b[{k}])" for k in range(BITS // 64))
     rest = left.join(
