@@ -1,4 +1,4 @@
 """All registered queries of the library's own operators, with their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import indicators  # noqa: F401
+from .base import ORACLE_SQL, QUERIES  # noqa: F401
