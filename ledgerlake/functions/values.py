@@ -33,7 +33,7 @@ def size_band(volume: Column) -> Column:
 
 def czech_percent(share: Column) -> Column:
     """``12,3 %``."""
-    return F.concat(F.translate(F.format_number(share * 100, "0.0"), ".", ","), F.lit(" %"))
+    return F.concat(F.translate(F.format_number(share * 100, 1), ",.", " ,"), F.lit(" %"))
 
 
 def wilson(successes: Column, n: Column, z: float = 1.959963984540054) -> Column:
