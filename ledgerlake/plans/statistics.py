@@ -28,7 +28,7 @@ def subject_summary(spark, sf_dir):
     return st.subject_summary(flows(spark, sf_dir).withColumn("probable", F.col("l_discount") > 0.05))
 
 
-@query("A11_merge_flows", f"""WITH {FLOWS} SELECT flow, min(day) AS first_day, arg_min(recipient, line) FILTER (recipient % 3 <> 0) AS recipient, count(DISTINCT recipient) > 1 AS several FROM flows GROUP BY flow""")
+@query("A11_merge_flows", f"""WITH {FLOWS} SELECT flow, min(day) AS first_day, (min({{'l': line, 'r': recipient}}) FILTER (recipient % 3 <> 0)).r AS recipient, count(DISTINCT recipient) > 1 AS several FROM flows GROUP BY flow""")
 def merge_flows(spark, sf_dir):
     known = F.when(F.col("recipient") % 3 != 0, F.struct("line", "recipient"))
     return flows(spark, sf_dir).groupBy("flow").agg(F.min("day").alias("first_day"), F.min(known)["recipient"].alias("recipient"), (F.count_distinct("recipient") > 1).alias("several"))
