@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components, star_labels
-from .tables import bucket_count, with_row_key, written
+from .tables import bucket_count, discard, with_row_key, written
 from .textblocks import U64, blocks, mix, shingle_sets, split_points
 
 NO_ID = 2**63 - 1
@@ -264,7 +264,7 @@ def _rich_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _verify(orders: Orders):
-    """Pairs with both sets: prefix filter under the further orders, then the intersection itself."""
+    """Labels of the pairs that link: prefix filter under the further orders, then the intersection itself."""
 
     def common(x, y):
         return np.intersect1d(x, y, assume_unique=True)
@@ -281,7 +281,7 @@ def _verify(orders: Orders):
                 if any(not len(common(memo[k], orders.prefix(other, k))) for k in range(1, ORDERS)):
                     continue
                 keep[i] = len(common(sets, other)) >= required(len(sets), len(other))
-            yield df.loc[keep, ["a", "b"]]
+            yield df.loc[keep, ["la", "lb"]].drop_duplicates()
 
     return run
 
@@ -296,25 +296,30 @@ def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, Da
     answers = written(spark, blobs.groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens"), "answers")
     profile_sql = "rk long, doc_id long, n int, m int, alive boolean"
     profile = written(spark, answers.groupBy("cid").applyInArrow(_alive, profile_sql), "profile")
+    discard(spark, answers)
     alive = profile.where("alive").select("rk").distinct()
     sets = written(spark, keyed.join(alive, "rk", "left_semi").select("rk", "doc_id", "text").mapInArrow(_sets, SET_SQL), "sets")
-    members = sets.select("rk", "ck")
+    members = written(spark, sets.select("rk", "ck").distinct(), "members")
     classes = sets.groupBy("ck").agg(F.first("tokens").alias("tokens"))
     classes = written(spark, classes, "classes")
+    discard(spark, sets)
     answers = classes.mapInArrow(_send_sets(buckets), BLOB_SQL).groupBy("bucket").applyInArrow(_answer, BLOB_SQL).drop("bucket", "tokens")
-    partners = written(spark, answers, "answers").groupBy("cid").applyInArrow(_alive, profile_sql).where("alive").select(F.col("rk").alias("ck"), "n", "m").distinct()
+    answers = written(spark, answers, "answers")
+    partners = answers.groupBy("cid").applyInArrow(_alive, profile_sql).where("alive").select(F.col("rk").alias("ck"), "n", "m").distinct()
     near = written(spark, classes.select("ck", "tokens").join(partners, "ck"), "near")
+    discard(spark, answers, classes)
 
     hot = near.select("tokens").mapInArrow(_counts, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= HOT_FROM).orderBy(F.desc("c"), "token").limit(HOT_TOKENS).toPandas()
     orders = Orders(hot["token"].to_numpy(np.int64).astype(U64), hot["c"].to_numpy(np.int64))
     postings = written(spark, near.mapInArrow(_postings(orders), "token long, ck long, n int, m int, pos int"), "postings")
     lists = postings.groupBy("token").agg(F.min("ck").alias("low"), F.max("ck").alias("high")).where("low < high")
-    postings = written(spark, postings.join(lists.select("token"), "token", "left_semi"), "shared")
+    every, postings = postings, written(spark, postings.join(lists.select("token"), "token", "left_semi"), "shared")
+    discard(spark, every)
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         s = near.select("ck", "tokens")
         both = pairs.join(s.select(F.col("ck").alias("a"), F.col("tokens").alias("sa")), "a").join(s.select(F.col("ck").alias("b"), F.col("tokens").alias("sb")), "b")
-        return written(spark, both.mapInPandas(_verify(orders), "a long, b long"), name)
+        return written(spark, both.mapInPandas(_verify(orders), "la long, lb long").distinct(), name).select(F.col("la").alias("a"), F.col("lb").alias("b"))
 
     size_ok = F.expr("7 * least(m, hub_m) >= 3 * (n + hub_n)")
     links, label = None, None
@@ -330,10 +335,11 @@ def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, Da
         hubs = here.groupBy("token").agg(F.min(rank).alias("hub")).select("token", F.col("hub.ck").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.m").alias("hub_m"))
         star = here.join(hubs, "token").where((F.col("ck") != F.col("hub")) & size_ok)
         star = star.select(F.least("ck", "hub").alias("a"), F.greatest("ck", "hub").alias("b")).distinct()
-        found = verified(star, "star")
+        found = verified(star.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb")), "star")
         links = found if links is None else links.union(found)
         label = written(spark, star_labels(links), "stars").withColumnRenamed("node", "ck")
     tagged = written(spark, postings.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck")), "tagged")
+    discard(spark, postings)
     open_lists = tagged.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
     open_lists = written(spark, open_lists, "open")
     own = tagged.join(open_lists, "token", "left_semi").groupBy("ck", "n", "m", "label").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("own"))
@@ -350,11 +356,13 @@ def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, Da
             f" and 7 * ({differ}) <= n + n_b and not arrays_overlap(early, early_b)"
         ),
     )
-    found = verified(rest.select(F.col("ck").alias("a"), F.col("ck_b").alias("b")).distinct(), "rest")
-    label = components(spark, links.union(found)).withColumnRenamed("node", "ck")
+    # what matters of these links is which stars they join
+    joined = verified(rest.select(F.col("ck").alias("a"), F.col("ck_b").alias("b"), F.least("label", "label_b").alias("la"), F.greatest("label", "label_b").alias("lb")).distinct(), "rest")
+    whole = components(spark, joined)
 
-    named = classes.select("ck").join(label, "ck", "left").select("ck", F.coalesce("label", "ck").alias("label"))
-    return profile.select("rk", "doc_id", "n"), members.select("rk", "ck").distinct().join(named, "ck").select("rk", "label")
+    named = members.select("ck").distinct().join(label, "ck", "left").select("ck", F.coalesce("label", "ck").alias("star"))
+    named = named.join(whole.withColumnRenamed("node", "star"), "star", "left").select("ck", F.coalesce("label", "star").alias("label"))
+    return profile.select("rk", "doc_id", "n"), members.join(named, "ck").select("rk", "label")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:

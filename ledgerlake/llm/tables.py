@@ -22,7 +22,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
