@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: By application: the fresh folders of sessions that name none.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``; a fresh local one only where that is unset."""
     here = spark.conf.get("spark.checkpoint.dir", None)
     if not here:
-        here = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", here)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+        here = _own[app]
     return here.rstrip("/")
 
 
