@@ -387,3 +387,21 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     drop = found.where("component_id is null and doc_id is not null or component_id <> doc_id or doc_id is null and component_id is not null").select("rk").distinct()
     keyed = docs.withColumn("__rk", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     return keyed.join(drop.withColumnRenamed("rk", "__rk"), "__rk", "left_anti").drop("__rk")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[p : least(p + 4, len(w))], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(2, len(w) - 3))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+i AS (SELECT x.rid AS a, y.rid AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.rid <> y.rid GROUP BY 1, 2),
+links AS (SELECT a, b FROM i JOIN n p ON p.rid = a JOIN n q ON q.rid = b WHERE 100 * i >= 75 * (p.n + q.n - i)),
+reach(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a AS rid, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = b GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, low.component_id
+FROM d LEFT JOIN n USING (rid) JOIN low USING (rid)
+"""

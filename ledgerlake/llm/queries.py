@@ -6,11 +6,11 @@ from .decontamination import op9_decontamination
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .licenses import op10_licenses
 from .line_dedup import op8_line_dedup
-from .ngram_join import op1_ngram_jaccard
+from .ngram_join import OP1_SQL, op1_ngram_jaccard
 from .personal_data import op7_personal_data
 from .piece_bpe import op4_piece_bpe
 from .quality import op5_quality
-from .substring_dedup import op6_substring_dedup
+from .substring_dedup import OP6_SQL, op6_substring_dedup
 from .toxicity import op2_toxicity
 
 QUERIES = {
@@ -27,5 +27,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_ngram_jaccard": OP1_SQL,
     "op3_exact_dedup": OP3_SQL,
+    "op6_substring_dedup": OP6_SQL,
 }

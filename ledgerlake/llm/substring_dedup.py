@@ -195,3 +195,15 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, texts: bool = True) -> Dat
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return cut_repeats(spark, docs, texts=False).withColumnRenamed("kept", "kept_sha256")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT rid, p, md5(array_to_string(w[p : p + 34], ' ')) AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+again AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(p, p + 35)) AS p FROM win SEMI JOIN again USING (k)),
+words AS (SELECT rid, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d WHERE len(w) > 0),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(g.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT rid, count(*) AS n FROM gone GROUP BY rid) g USING (rid) LEFT JOIN kept USING (rid)
+"""
