@@ -120,8 +120,9 @@ def yearly_rates(lines: DataFrame) -> DataFrame:
 def methodologies(spark: SparkSession, path: str) -> DataFrame:
     """One row for each methodology document: code, version, parameters as JSON."""
     text = spark.read.option("wholetext", True).text(path)
-    get = lambda k: F.get_json_object("value", f"$.{k}")
-    return text.select(get("kod").alias("code"), get("verze").alias("version"), get("parametry").alias("parameters"), F.sha2("value", 256).alias("sha256"))
+    tree = F.try_parse_json("value")
+    get = lambda k, kind="string": F.try_variant_get(tree, f"$.{k}", kind)
+    return text.select(get("kod").alias("code"), get("verze").alias("version"), F.to_json(get("parametry", "variant")).alias("parameters"), F.sha2("value", 256).alias("sha256"))
 
 
 def newest_file(links: DataFrame, group: str, text: str) -> DataFrame:
