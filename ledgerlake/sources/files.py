@@ -44,7 +44,7 @@ def xml_records(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
 
 def notice_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Notices of paged JSON arrays as (id, payload), and the count for comparison with the source's own."""
-    pages = spark.read.option("wholetext", True).text(path)
+    pages = spark.read.text(path, wholetext=True)
     items = pages.select(F.explode(F.from_json("value", "array<string>")).alias("payload"))
     rows = items.select(F.get_json_object("payload", "$.id").alias("id"), "payload")
     return rows, rows.agg(F.count("*").alias("landed"))
@@ -119,7 +119,7 @@ def yearly_rates(lines: DataFrame) -> DataFrame:
 
 def methodologies(spark: SparkSession, path: str) -> DataFrame:
     """One row for each methodology document: code, version, parameters as JSON."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     tree = F.try_parse_json("value")
     get = lambda k, kind="string": F.try_variant_get(tree, f"$.{k}", kind)
     return text.select(get("kod").alias("code"), get("verze").alias("version"), F.to_json(get("parametry", "variant")).alias("parameters"), F.sha2("value", 256).alias("sha256"))

@@ -19,7 +19,7 @@ def test_xml_and_json_records(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
     (pages / "1.json").write_text(json.dumps([{"id": "F1", "v": 1}, {"id": "F2", "v": [2]}]))
-    (pages / "2.json").write_text(json.dumps([{"id": "F3"}]))
+    (pages / "2.json").write_text(json.dumps([{"id": "F3"}], indent=1))
     found, count = files.notice_pages(spark, str(pages))
     assert sorted(r.id for r in found.collect()) == ["F1", "F2", "F3"] and count.first().landed == 3
 
