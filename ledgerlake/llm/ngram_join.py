@@ -54,7 +54,7 @@ HOT_FROM = 8
 ORDERS = 3
 #: Shingles a mapper holds before it sends them to buckets.
 SEND_AT = 1 << 20
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
 #: Bits of a set's parity map: bit b is the parity of the number of its shingles with hash b.
 BITS = 1024
 
@@ -324,9 +324,10 @@ def jaccard_groups(spark: SparkSession, keyed: DataFrame) -> tuple[DataFrame, Da
     size_ok = F.expr("7 * least(m, hub_m) >= 3 * (n + hub_n)")
     links, label = None, None
     for turn in range(STAR_ROUNDS):
-        # first the set nearest to the origin of a list, then any other by hash
-        first = -F.col("m") / F.col("n") if turn == 0 else F.xxhash64("ck").cast("double")
-        rank = F.struct(first.alias("first"), "ck", "n", "m")
+        # first the set nearest to the origin of a list, then others that are about as near, by hash
+        near_origin = -F.col("m") / F.col("n")
+        first = near_origin if turn == 0 else F.round(near_origin, 1)
+        rank = F.struct(first.alias("first"), F.xxhash64("ck", F.lit(turn)).alias("then"), "ck", "n", "m")
         here = postings
         if label is not None:
             here = here.join(label, "ck", "left").withColumn("label", F.coalesce("label", "ck"))
