@@ -54,6 +54,8 @@ HOT_FROM = 8
 ORDERS = 3
 #: Shingles a mapper holds before it sends them to buckets.
 SEND_AT = 1 << 20
+#: Documents of one send: their numbers, and the one past the last, go as 16 bits.
+SEND_UNITS = (1 << 16) - 1
 STAR_ROUNDS = 4
 #: Bits of a set's parity map: bit b is the parity of the number of its shingles with hash b.
 BITS = 1024
@@ -73,19 +75,30 @@ def prefix_length(n: int) -> int:
     return n - -(-3 * n // 4) + 1 if n else 0
 
 
+def _sends(parts: Iterator[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sends of whole parts (hashes, document numbers ascending, set sizes, row keys, ids), of ``SEND_UNITS`` documents at most."""
+    held: list[tuple] = []
+    size = units = 0
+    for h, d, n, rk, did in parts:
+        for i in range(0, len(n), SEND_UNITS):
+            own = slice(i, i + SEND_UNITS)
+            a, z = np.searchsorted(d, [i, i + SEND_UNITS])
+            if held and units + len(n[own]) > SEND_UNITS:
+                yield _blobs(held, buckets)
+                held, size, units = [], 0, 0
+            held.append((h[a:z], d[a:z] - i, n[own], rk[own], did[own]))
+            size += z - a
+            units += len(n[own])
+            if size >= SEND_AT:
+                yield _blobs(held, buckets)
+                held, size, units = [], 0, 0
+    if held:
+        yield _blobs(held, buckets)
+
+
 def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for b in blocks(batches):
-            h, d, n = shingle_sets(b)
-            held.append((h, d, n, b.longs("rk"), b.longs("doc_id")))
-            size += len(h)
-            if size >= SEND_AT or sum(len(x[2]) for x in held) > 60_000:
-                yield _blobs(held, buckets)
-                held, size = [], 0
-        if held:
-            yield _blobs(held, buckets)
+        return _sends(((*shingle_sets(b), b.longs("rk"), b.longs("doc_id")) for b in blocks(batches)), buckets)
 
     return run
 
@@ -93,22 +106,17 @@ def _send(buckets: int):
 def _send_sets(buckets: int):
     """The same from classes: their keys stand for the documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             sets = [np.frombuffer(x, U64) for x in batch.column("tokens").to_pylist()]
             ck = batch.column("ck").to_numpy()
             for i in range(0, len(sets), 500):
                 own = sets[i : i + 500]
                 n = np.array([len(x) for x in own])
-                held.append((np.concatenate(own), np.repeat(np.arange(len(own)), n), n, ck[i : i + 500], ck[i : i + 500]))
-                size += n.sum()
-                if size >= SEND_AT:
-                    yield _blobs(held, buckets)
-                    held, size = [], 0
-        if held:
-            yield _blobs(held, buckets)
+                yield np.concatenate(own), np.repeat(np.arange(len(own)), n), n, ck[i : i + 500], ck[i : i + 500]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sends(parts(batches), buckets)
 
     return run
 

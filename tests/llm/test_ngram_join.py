@@ -1,6 +1,10 @@
 import random
 
-from ledgerlake.llm.ngram_join import jaccard_components, one_of_each_group
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerlake.llm.ngram_join import BLOB, _alive, _answer, _send, _send_sets, _sets, jaccard_components, one_of_each_group
 
 WS = b" \t\n\x0b\x0c\r"
 
@@ -65,3 +69,36 @@ def test_empty_table_and_one_of_each_group(spark, docs_of):
     kept = one_of_each_group(spark, docs_of(rows))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 8, 9]
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "rk"]
+
+
+def grouped(table, key):
+    return [table.filter(pa.compute.equal(table.column(key), k)) for k in table.column(key).unique()]
+
+
+@pytest.mark.parametrize("senders", ["lines", "classes"])
+def test_more_short_lines_than_sixteen_bits_count(senders):
+    rng = random.Random(5)
+    shared = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 11))) for _ in range(60_000)]
+
+    def batches(own, first):
+        lines = [x for pair in zip(own, shared) for x in pair] + shared[len(own) :]
+        for i in range(0, len(lines), 10_000):
+            part = lines[i : i + 10_000]
+            ids = np.arange(first + i, first + i + len(part))
+            yield pa.RecordBatch.from_pydict({"rk": ids, "doc_id": ids, "text": part})
+
+    sent, n = [], {}
+    for task in range(2):
+        own = [f"own{task}x{k}" for k in range(15_000)]
+        at = task * 100_000
+        sets = pa.Table.from_batches(list(_sets(batches(own, at))))
+        n |= dict(zip(sets.column("rk").to_pylist(), sets.column("n").to_pylist()))
+        if senders == "lines":
+            sent += _send(7)(batches(own, at))
+        else:
+            sent += _send_sets(7)(sets.drop("ck").rename_columns({"rk": "ck"}).to_batches(10_000))
+    answers = pa.concat_tables([_answer(x) for x in grouped(pa.Table.from_batches(sent, BLOB), "bucket")])
+    got = pa.concat_tables([_alive(x) for x in grouped(answers, "cid")]).to_pylist()
+    single = lambda rk: rk % 100_000 < 30_000 and rk % 2 == 0
+    assert len(got) == len(n) == 150_000
+    assert all((r["n"], r["m"], r["alive"]) == (n[r["rk"]], 0 if single(r["rk"]) else n[r["rk"]], not single(r["rk"])) for r in got)
