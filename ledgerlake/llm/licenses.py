@@ -3,12 +3,12 @@
 *Base.*  Places where the words of a fixed phrase stand consecutively.
 
 *Method.*  Licence templates are indexed by word with positions.  A word's rarity
-is its inverse document frequency over all documents scanned.  Each file looks up
-its ``LOOKUPS`` rarest template words, intersects their postings by relative
-position (a template counts the different looked-up words that agree on one
-offset, give or take ``SLACK``), and a template with ``AGREE`` of them or more is
-accepted only if one of its mandatory key phrases stands in the file.  Its score
-is the share of its words found at their place.
+is its inverse document frequency over all documents scanned.  A file is looked up
+for the templates of which it holds a mandatory key phrase: the ``LOOKUPS`` rarest
+words that it holds of each are intersected by relative position (a template counts
+the different looked-up words that agree on one offset, give or take ``SLACK``), and
+if fewer than ``AGREE`` agree, all its words are.  A template with ``AGREE`` or more
+is accepted.  Its score is the share of its words found at their place.
 
 Words are letters, digits and bytes beyond ASCII, A-Z lower-cased.  Null texts
 have no words; the score is 0 without places and labels, at least 1/2 with a base
@@ -77,6 +77,23 @@ class LicenseIndex:
         self.idf = np.array([np.log((n + 1) / (df.get(int(np.int64(h)), 0) + 1)) for h in self.vocab.view(np.int64)])
         return self
 
+    def rarest(self, t: int) -> list[int]:
+        """The different words of a template, rarest first."""
+        own = np.unique(np.searchsorted(self.vocab, self.words[t]))
+        return own[np.argsort(-self.idf[own], kind="stable")].tolist()
+
+    def agreed(self, t: int, looked_up: list[int], places: dict[int, np.ndarray]) -> tuple[int, int] | None:
+        """(different words, offset) of the first offset on which most words agree; None if too few do."""
+        got = []
+        for k in looked_up:
+            spots = np.concatenate([places[k] - q for u, q in self.postings[k] if u == t])
+            # a word that fits an offset twice gives no more evidence
+            got.append(np.unique((spots[:, None] + np.arange(-SLACK, SLACK + 1)).ravel()))
+        offsets, seen = np.unique(np.concatenate(got or [np.zeros(0, np.int64)]), return_counts=True)
+        if not len(seen) or seen.max() < min(AGREE, len(set(self.words[t].tolist()))):
+            return None
+        return int(seen.max()), int(offsets[np.argmax(seen)])
+
 
 def _words(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = LOWER[b.data]
@@ -130,48 +147,29 @@ def scan_block(index: LicenseIndex, b: Block) -> dict[str, list]:
             high[d] = max(high[d], at)
             base_labels[d].add(label)
             score[d] = max(score[d], BASE_SCORE)
-    # the rarest template words of each file
+    # a template needs one of its key phrases: only files that hold one are looked up, and only for its templates
     at = np.searchsorted(index.vocab, words)
     at[at == len(index.vocab)] = 0
     hit = np.flatnonzero(index.vocab[at] == words)
-    pair = np.unique(doc[hit] * len(index.vocab) + at[hit])
-    d, k = pair // len(index.vocab), pair % len(index.vocab)
-    order = np.lexsort((k, -index.idf[k], d))
-    d, k = d[order], k[order]
-    rank = np.arange(len(d)) - np.repeat(split_points(d)[:-1], np.diff(split_points(d))) if len(d) else d
-    key_places = {}
-    chosen = np.zeros((b.n, len(index.vocab)), bool) if b.n * len(index.vocab) < 1 << 26 else None
-    picked = set(zip(d[rank < LOOKUPS].tolist(), k[rank < LOOKUPS].tolist())) if chosen is None else None
-    if chosen is not None:
-        chosen[d[rank < LOOKUPS], k[rank < LOOKUPS]] = True
-        use = hit[chosen[doc[hit], at[hit]]]
-    else:
-        use = np.array([h for h in hit.tolist() if (doc[h], at[h]) in picked], np.int64)
-    ends = split_points(doc[use])
-    for a, z in zip(ends[:-1], ends[1:]):
-        own = use[a:z]
-        if z - a < AGREE:
-            continue
-        f = doc[own[0]]
-        # a word repeated more often than it has postings gives no more evidence: one offset each is kept
-        agree: dict[tuple[int, int], set] = defaultdict(set)
-        for p in own.tolist():
-            for t, q in index.postings[int(at[p])]:
-                offset = p - q
-                for s in range(-SLACK, SLACK + 1):
-                    agree[t, offset + s].add(int(at[p]))
+    wanted: dict[int, list[int]] = defaultdict(list)
+    for t, keys in enumerate(index.keys):
+        for f in np.unique(doc[np.concatenate([_places(words, doc, key) for key in keys])]).tolist():
+            wanted[f].append(t)
+    for f, templates in wanted.items():
+        lo, hi = np.searchsorted(hit, [first[f], first[f] + n[f]])
+        own = hit[lo:hi]
+        order = np.argsort(at[own], kind="stable")
+        own, kinds = own[order], at[own][order]
+        cuts = split_points(kinds)
+        places = {int(kinds[i]): own[i:j] for i, j in zip(cuts[:-1], cuts[1:])}
         best: dict[int, tuple[int, int]] = {}
-        for (t, offset), seen in agree.items():
-            need = min(AGREE, len(set(index.words[t].tolist())))
-            if len(seen) >= need and (t not in best or (len(seen), -offset) > (best[t][0], -best[t][1])):
-                best[t] = (len(seen), offset)
+        for t in templates:
+            held = [k for k in index.rarest(t) if k in places]
+            # the rarest words of the template in this file; where they don't agree, all
+            offset = index.agreed(t, held[:LOOKUPS], places) or index.agreed(t, held, places)
+            if offset:
+                best[t] = offset
         for t, (_, offset) in best.items():
-            if t not in key_places:
-                key_places[t] = np.sort(np.concatenate([_places(words, doc, key) for key in index.keys[t]]))
-            places = key_places[t]
-            lo, hi = np.searchsorted(places, first[f]), np.searchsorted(places, first[f] + n[f])
-            if lo == hi:
-                continue
             labels[f].add(index.labels[t])
             found = 0
             for q, h in enumerate(index.words[t]):

@@ -35,3 +35,18 @@ def test_empty_table_and_words_alone(spark, docs_of):
     assert scan(docs_of([])).collect() == []
     got = scan(docs_of([(1, "general of the public license was granted to any copy of this software"), (2, "a b c")])).collect()
     assert all(r.labels == "" and r.score == 0 for r in got)
+
+
+def test_every_licence_of_a_file_with_several_and_of_a_long_one(spark, docs_of):
+    several = "Licensed under the Apache License, Version 2.0. The docs are licensed under CC BY-NC 4.0; the logo is released under the MIT license. All rights reserved."
+    every = " and then ".join(t for _, t, _ in TEMPLATES)
+    scattered = sorted({w for _, t, _ in TEMPLATES for w in t.split()})
+    long = " filler ".join(scattered * 20)
+    rows = [(1, several), (2, every), *[(10 + k, f"{long} filler {t} filler {long}") for k, (_, t, _) in enumerate(TEMPLATES)]]
+    rows += [(100 + i, "nothing but apache cc nc 2 4 0 released by") for i in range(5)] + [(200 + i, "all rights are reserved here and the rights of all") for i in range(50)]
+    by = {r.doc_id: set(r.labels.split(",")) for r in scan(docs_of(rows)).collect()}
+    assert by[1] == {"apache", "cc-by-nc", "mit", "proprietary"}
+    assert by[2] == {label for label, _, _ in TEMPLATES}
+    for k, (label, _, _) in enumerate(TEMPLATES):
+        assert label in by[10 + k], label
+    assert by[100] == by[200] == {""}
