@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.landing import new_records
 
 
-def land_stream(spark: SparkSession, incoming: DataFrame, target: str, checkpoint: str, key: list[str], time: str = "ts", late: str = "30 days") -> StreamingQuery:
+def land_stream(spark: SparkSession, incoming: DataFrame, target: str, checkpoint: str, key: list[str]) -> StreamingQuery:
     """Append records of a file stream to Parquet at ``target``, each key once.
 
-    The watermark bounds the state of early duplicates; the anti-join with what is
-    landed keeps keys unique past it and after a batch that is tried again.
+    A batch drops its own repeats, and the anti-join with what is landed keeps keys
+    unique across batches and after one that is tried again.  There is no watermark:
+    records land however late they come.
     """
-    unique = incoming.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
 
     def land(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
@@ -23,4 +23,4 @@ def land_stream(spark: SparkSession, incoming: DataFrame, target: str, checkpoin
         new = new_records(batch, session.read.parquet(target), key) if there else batch.dropDuplicates(key)
         new.write.mode("append").parquet(target)
 
-    return unique.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return incoming.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

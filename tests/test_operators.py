@@ -159,3 +159,15 @@ def test_stream_lands_each_key_once(spark, tmp_path):
     rows([(2, "b"), (3, "c")]).write.mode("append").parquet(source)
     stream().awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_stream_lands_records_that_come_late(spark, tmp_path):
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = "id long, ts timestamp, text string"
+    rows = lambda xs: spark.createDataFrame([(i, datetime.datetime(2026, 3, 10) - datetime.timedelta(days), "a") for i, days in xs], schema)
+    stream = lambda: land_stream(spark, spark.readStream.schema(schema).parquet(source), target, check, ["id"])
+    rows([(1, 0), (2, 1)]).write.parquet(source)
+    stream().awaitTermination(120)
+    rows([(1, 60), (3, 60), (3, 60), (4, 0)]).write.mode("append").parquet(source)
+    stream().awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
