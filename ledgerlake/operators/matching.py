@@ -37,9 +37,11 @@ def best_per(df: DataFrame, group: str, score_column: str, tie: str) -> DataFram
     return df.groupBy(group).agg(F.max_by(F.struct(*rest), F.struct(score_column, tie)).alias("__x")).select(group, "__x.*")
 
 
-def word_pairs(a: DataFrame, b: DataFrame, least_common: int, rare: int) -> DataFrame:
-    """(id_a, id_b, common) of texts that share long words, blocked on words in few texts of ``b``."""
+def word_pairs(a: DataFrame, b: DataFrame, least_common: int, rare: int | None = None) -> DataFrame:
+    """(id_a, id_b, common) of texts that share long words; with ``rare``, only words in so few texts of ``b`` count."""
     wa = a.select("id_a", F.explode(long_words(F.col("text_a"))).alias("word"))
     wb = b.select("id_b", F.explode(long_words(F.col("text_b"))).alias("word"))
-    few = wb.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= rare).select("word")
-    return wa.join(wb.join(few, "word", "left_semi"), "word").groupBy("id_a", "id_b").agg(F.count("*").alias("common")).where(F.col("common") >= least_common)
+    if rare is not None:
+        few = wb.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= rare).select("word")
+        wb = wb.join(few, "word", "left_semi")
+    return wa.join(wb, "word").groupBy("id_a", "id_b").agg(F.count("*").alias("common")).where(F.col("common") >= least_common)

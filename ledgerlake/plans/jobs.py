@@ -125,6 +125,13 @@ def names_by_words(spark, sf_dir):
     return matching.word_pairs(a, b, 2, 20)
 
 
+@query("J17_all_common_words")
+def all_common_words(spark, sf_dir):
+    a = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id_a"), F.col("text").alias("text_a"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id_b"), F.col("text").alias("text_b"))
+    return matching.word_pairs(a, b, 2)
+
+
 @query("J20_subject_lookup", "SELECT user_id, c_name AS name, CASE WHEN c_custkey IS NULL THEN 'not_found' END AS exception FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN customer ON c_custkey = user_id")
 def subject_lookup(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.lit(True).alias("known"))

@@ -123,6 +123,11 @@ def long_words(spark, sf_dir):
     return table(spark, sf_dir, "documents").where(~F.lower("text").rlike(r"[^\x00-\x7F]")).select("doc_id", F.size(texts.long_words(F.col("text"))).cast("long").alias("n"))
 
 
+@query("H02_all_long_words")
+def all_long_words(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(texts.long_words(F.col("text"))).cast("long").alias("n"))
+
+
 @query("H03_company_name", """SELECT s_suppkey, lower(regexp_replace(s_name, '[^A-Za-z0-9]+', ' ', 'g')) AS name FROM supplier""")
 def company_name(spark, sf_dir):
     dressed = F.concat(F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, ", s.r.o.").otherwise(" a.s."))

@@ -1,6 +1,7 @@
 """Small inputs with values worked out by hand."""
 
 import datetime
+import re
 import uuid
 from decimal import Decimal
 
@@ -12,6 +13,7 @@ from ledgerlake.functions import contract_text as ct
 from ledgerlake.functions import identifiers as ids
 from ledgerlake.functions import redaction, texts, values
 from ledgerlake.operators import indicators, matching, statistics, versions
+from ledgerlake.plans import catalog
 from ledgerlake.sources import files, landing
 from ledgerlake.streaming.landing import land_stream
 
@@ -171,3 +173,18 @@ def test_stream_lands_records_that_come_late(spark, tmp_path):
     rows([(1, 60), (3, 60), (3, 60), (4, 0)]).write.mode("append").parquet(source)
     stream().awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
+
+
+def test_all_documents_and_words_are_compared(spark):
+    sf = "/root/testdata/sf0.001"
+
+    def long(text):
+        bare = str.maketrans(texts.MARKED, texts.BARE)
+        return set(re.findall("[a-z0-9]{4,}", (text or "").lower().translate(bare)))
+
+    items = {r.item_id: long(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    docs = {r.doc_id: long(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {(r.id_a, r.id_b): r.common for r in catalog.QUERIES["J17_all_common_words"](spark, sf).collect()}
+    assert got == {(a, b): len(x & y) for a, x in items.items() for b, y in docs.items() if len(x & y) >= 2}
+    got = {r.doc_id: r.n for r in catalog.QUERIES["H02_all_long_words"](spark, sf).collect()}
+    assert got == {k: len(x) for k, x in docs.items()}
