@@ -11,9 +11,14 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of an Arrow batch that goes to a Python worker, about: long texts come few at a time.
+ARROW_BYTES = 4 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors (as ``--py-files`` would), once for each application."""
+    """Bound Arrow batches by bytes; send this package to the executors (as ``--py-files`` would), once for each application."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b") == "67108864b":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
