@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import discard, written
 
 
 def components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -28,21 +28,10 @@ def components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> D
         new = step.join(jump, "low", "left").select("node", F.col("label").alias("old"), F.least("low", "jumped").alias("label"))
         new = written(spark, new, "labels")
         changed = new.where("old <> label").limit(1).count()
+        discard(spark, labels)
         labels = new.select("node", "label")
+        labels.scratch_path = new.scratch_path
         if not changed:
+            discard(spark, edges)
             return labels
     raise RuntimeError("components did not settle")
-
-
-def star_labels(links: DataFrame) -> DataFrame:
-    """(a, b) links -> (node, label): nodes of one label are connected, though not all connected ones share one.
-
-    One hop to the smallest neighbour and two pointer jumps: enough to name large
-    stars, without the rounds of ``components``.
-    """
-    edges = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
-    for _ in range(2):
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("jumped"))
-        labels = labels.join(jump, "label").select("node", F.col("jumped").alias("label"))
-    return labels

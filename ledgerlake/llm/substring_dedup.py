@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import bucket_count, with_row_key
+from .tables import bucket_count, text_bytes, with_row_key
 from .textblocks import U64, WHITESPACE, blocks, run_hashes, split_points, word_bounds, word_hashes
 
 WINDOW = 35
@@ -184,7 +184,7 @@ def _cut_step(texts: bool) -> Callable:
 def cut_repeats(spark: SparkSession, docs: DataFrame, texts: bool = True) -> DataFrame:
     """Every row -> (doc_id, n_words, n_removed, kept): kept words joined by spaces, or their SHA-256."""
     keyed = with_row_key(docs)
-    n = bucket_count(spark, keyed)
+    n = bucket_count(spark, text_bytes(keyed))
     dealt = keyed.select(F.pmod(F.xxhash64("rk"), F.lit(n)).cast("int").alias("grp"), "rk", "doc_id", "text")
     by_group = dealt.groupBy("grp")
     seeds = by_group.applyInArrow(_seed_step(n), BLOB_SQL).groupBy("bucket").applyInArrow(_repeated, BLOB_SQL)

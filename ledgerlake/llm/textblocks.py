@@ -7,6 +7,8 @@ Hashes are 64 bits; equality of hashes is taken for equality of words.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +23,9 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 #: Fixed odd multipliers of the positions of a shingle.
 POSITION = np.array([(0xD1342543DE82EF95 * (2 * k + 1) ^ 0x5851F42D4C957F2D) & (2**64 - 1) | 1 for k in range(64)], U64)
 
+#: Bytes of text that are hashed at a time: bounds the tables of powers that a Python worker keeps.
+PIECE = 1 << 20
+
 _tables: dict[str, np.ndarray] = {}
 
 WHITESPACE = np.zeros(256, bool)
@@ -41,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_tables.get("p", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, PIECE + 64)
         for key, base in (("p", _BASE), ("i", _BASE_INV)):
             t = np.full(size, base, U64)
             t[0] = 1
@@ -49,6 +54,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["p"], _tables["i"]
 
 
+def release() -> None:
+    """Give free memory back at the end of a task: workers are kept for the next ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another libc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 @dataclass
 class Block:
     """Whole documents: their rows in the batch, bytes and byte offsets."""
@@ -81,6 +93,38 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int
             j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, "right")) - 1)
             yield Block(batch, i, data[off[i] : off[j]], off[i : j + 1] - off[i])
             i = j
+    release()
+
+
+@dataclass
+class Lines:
+    """The lines of a block, as units of their own: byte offsets, and document and line number of each."""
+
+    data: np.ndarray
+    offsets: np.ndarray
+    doc: np.ndarray
+    line_no: np.ndarray
+
+    @property
+    def n(self) -> int:
+        return len(self.doc)
+
+    def only(self, chosen: np.ndarray) -> Lines:
+        """The chosen lines and their bytes alone."""
+        size = np.diff(self.offsets)
+        offsets = np.concatenate([[0], np.cumsum(size[chosen])])
+        return Lines(self.data[np.repeat(chosen, size)], offsets, self.doc[chosen], self.line_no[chosen])
+
+
+def lines_of(b: Block) -> Lines:
+    """Lines end at ``\\n``, which stays at their end; a text of k line ends has k + 1 lines."""
+    ends = np.flatnonzero(b.data == 10) + 1
+    doc = np.concatenate([np.arange(b.n), np.searchsorted(b.offsets, ends - 1, "right") - 1])
+    start = np.concatenate([b.offsets[:-1], ends])
+    order = np.lexsort((np.arange(len(doc)), start, doc))  # an empty line comes after what ends where it starts
+    doc, start = doc[order], start[order]
+    first = np.searchsorted(doc, np.arange(b.n))
+    return Lines(b.data, np.append(start, len(b.data)), doc, np.arange(len(doc)) - first[doc])
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, delimiter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,6 +143,14 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, delimiter: np.ndarray) ->
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words between ascending starts and ends, wherever they stand."""
+    if len(data) > PIECE and len(starts) > 1:
+        out, i = [], 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
+            out.append(word_hashes(data[starts[i] : ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i]))
+            i = j
+        return np.concatenate(out)
     p, inv = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * p[: len(data)], out=total[1:])
@@ -128,7 +180,7 @@ def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix(h + U64(width))
 
 
-def shingle_sets(block: Block, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_sets(block: Block | Lines, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each document of a block (A-Z lower-cased).
 
     Returns hashes sorted within each document, their document numbers, and the
@@ -152,14 +204,29 @@ def shingle_sets(block: Block, width: int = 5) -> tuple[np.ndarray, np.ndarray,
             hs.append(mix(v + U64(k)))
             ds.append(short)
     hashes, docs = np.concatenate(hs), np.concatenate(ds)
-    order = np.lexsort((hashes, docs))
-    hashes, docs = hashes[order], docs[order]
+    if len(ds) > 1:  # the short documents back to their places
+        order = np.argsort(docs, kind="stable")
+        hashes, docs = hashes[order], docs[order]
+    cuts = split_points(docs)
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        hashes[a:z].sort()
     keep = np.ones(len(hashes), bool)
     keep[1:] = (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])
     hashes, docs = hashes[keep], docs[keep]
     return hashes, docs, np.bincount(docs, minlength=block.n)
 
 
+def sort_order(keys: np.ndarray) -> np.ndarray:
+    """Order of 32- or 64-bit keys by their upper bits: equal keys meet but for rare ties of those bits.
+
+    Sorting keys that carry their places is twice as fast as sorting places.
+    """
+    bits = max(1, int(len(keys) - 1).bit_length())
+    mask = U64((1 << bits) - 1)
+    wide = keys.astype(U64) << U64(32) if keys.dtype.itemsize == 4 else keys
+    return (np.sort((wide & ~mask) | np.arange(len(keys), dtype=U64)) & mask).astype(np.int64)
+
+
 def split_points(sorted_keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal keys, and the end."""
     if not len(sorted_keys):

@@ -1,33 +1,43 @@
 import random
 
+from ledgerlake.llm import ngram_join
 from ledgerlake.llm.line_dedup import removed_lines, without_later_lines
 from tests.llm.test_ngram_join import shingles
 
 
 def brute(rows):
     lines = [(10**9 if i is None else i, k, shingles(x)) for i, t in sorted(set(rows), key=str) if t is not None for k, x in enumerate(t.split("\n"))]
-    parent = list(range(len(lines)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for a in range(len(lines)):
-        for b in range(a):
-            x, y = lines[a][2], lines[b][2]
-            if x and y and 100 * len(x & y) >= 75 * len(x | y):
-                parent[find(a)] = find(b)
-    first = {}
-    for k, (i, n, _) in enumerate(lines):
-        first[find(k)] = min(first.get(find(k), (i, n)), (i, n))
     gone = {}
-    for k, (i, n, s) in enumerate(lines):
-        if s and (i, n) > first[find(k)]:
+    for i, n, s in lines:
+        if s and any((j, k) < (i, n) and t and 100 * len(s & t) >= 75 * len(s | t) for j, k, t in lines):
             gone.setdefault(i, []).append(n)
     return sorted(((i, len(t.split("\n")) if t is not None else 0, sorted(gone.get(10**9 if i is None else i, []))) for i, t in rows), key=str)
 
 
+def test_a_line_that_only_later_lines_match_stays(spark, docs_of):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda at: " ".join("changed" if i == at else w for i, w in enumerate(words))
+    a, b, c = " ".join(words), near(20), near(40)
+    got = {r.doc_id: r.removed for r in removed_lines(spark, docs_of([(1, b), (2, c), (3, a)])).collect()}
+    assert 100 * len(shingles(b) & shingles(c)) < 75 * len(shingles(b) | shingles(c))
+    assert got == {1: [], 2: [], 3: [0]}
+
+
+def test_many_near_lines_are_held_back_and_come_again(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PROPOSE", 1)
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(40)] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    got = sorted(((r.doc_id, r.n_lines, r.removed) for r in removed_lines(spark, docs_of(rows)).collect()), key=str)
+    assert got == brute(rows)
+
+
 def test_removed_lines_match_brute_force(spark, docs_of):
     rng = random.Random(11)
     say = lambda n: [f"w{rng.randrange(200)}" for _ in range(n)]

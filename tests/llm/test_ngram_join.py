@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlake.llm.ngram_join import BLOB, _alive, _answer, _send, _send_sets, _sets, jaccard_components, one_of_each_group
+from ledgerlake.llm import ngram_join
+from ledgerlake.llm.ngram_join import BLOB, _alive, _answer, _map_differences, _send, _send_sets, _sets, jaccard_components, one_of_each_group, parity_map
 
 WS = b" \t\n\x0b\x0c\r"
 
@@ -63,6 +64,32 @@ def test_brute_force_with_near_copies_shared_lines_and_edges(spark, docs_of):
     assert result(spark, docs_of(rows).repartition(5)) == brute(rows)
 
 
+def test_near_groups_in_chunks_with_few_proposals(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PROPOSE", 1)
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+    rng = random.Random(9)
+    base = [[f"b{k}w{i}" for i in range(70)] for k in range(2)]
+    # two groups whose members differ at every rate from nearly equal to unlinked, and a walk away from the first
+    rows = [(i, near(rng, base[i % 2], rng.randrange(0, 9))) for i in range(90)]
+    walk = list(base[0])
+    for i in range(40):
+        walk[(7 * i) % 70] = f"y{i}"
+        rows.append((200 + i, " ".join(walk)))
+    assert result(spark, docs_of(rows).repartition(3)) == brute(rows)
+
+
+def test_parity_maps_never_differ_in_more_places_than_the_sets():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (3, 20, 120, 130, 3000)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], sets[0]])) for s in sets]
+    maps = [np.frombuffer(parity_map(s), np.uint64) for s in sets]
+    words = np.array([len(m) for m in maps])
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    got = _map_differences(np.concatenate(maps), np.cumsum(words) - words, words, i, j)
+    assert all(g <= len(np.setxor1d(sets[a], sets[b])) for g, a, b in zip(got, i, j) if max(words[a], words[b]) <= 2 * min(words[a], words[b]))
+    assert all(g == 0 for g, a, b in zip(got, i, j) if a == b)
+
+
 def test_empty_table_and_one_of_each_group(spark, docs_of):
     assert result(spark, docs_of([])) == []
     rows = [(3, "a b c d e f"), (1, "A b c d e f"), (2, "q r s t u v"), (9, None), (8, "")]
@@ -91,7 +118,7 @@ def test_more_short_lines_than_sixteen_bits_count(senders):
     for task in range(2):
         own = [f"own{task}x{k}" for k in range(15_000)]
         at = task * 100_000
-        sets = pa.Table.from_batches(list(_sets(batches(own, at))))
+        sets = pa.Table.from_batches(list(_sets()(batches(own, at))))
         n |= dict(zip(sets.column("rk").to_pylist(), sets.column("n").to_pylist()))
         if senders == "lines":
             sent += _send(7)(batches(own, at))
