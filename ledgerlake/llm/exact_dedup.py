@@ -18,14 +18,18 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import bucket_count, written
+from .tables import bucket_count, fresh, text_bytes, written
+from .textblocks import release
 
-FOLD_BYTES = 16 << 20
-SPILL_BYTES = 32 << 20
+FOLD_BYTES = 8 << 20
+SPILL_BYTES = 16 << 20
+#: Bytes of an Arrow batch that become Python objects at a time, about.
+SLICE_BYTES = 1 << 20
 
 FOLDED = pa.schema([("length", pa.int64()), ("hash", pa.int64()), ("text", pa.large_binary()), ("members", pa.list_(pa.int64()))])
 #: kind 0: members of a terminal; kind 1: the terminal itself.
@@ -88,6 +92,17 @@ class PatriciaTrie:
             node, rest = child, rest[k:]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about ``SLICE_BYTES`` of text; a longer text is a slice of its own."""
+    for batch in batches:
+        upto = np.cumsum(batch.column("length").to_numpy())
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + SLICE_BYTES, "right")))
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[bytes, list] = {}
     size = 0
@@ -96,7 +111,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(v[0], v[1], k, v[2]) for k, v in held.items()]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), FOLDED)], schema=FOLDED)
 
-    for batch in batches:
+    for batch in _slices(batches):
         for i, text, length, h in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "length", "hash"))):
             if (row := held.get(text)) is None:
                 held[text] = [length, h, [i]]
@@ -109,6 +124,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = {}, 0
     if held:
         yield out()
+    del held
+    release()
 
 
 def _own(largest: bool):
@@ -134,7 +151,7 @@ def _own(largest: bool):
             rows.clear()
             return made
 
-        for batch in batches:
+        for batch in _slices(batches):
             for n, h, text, members in zip(*(batch.column(c).to_pylist() for c in FOLDED.names)):
                 if n not in tries:
                     if held > SPILL_BYTES:
@@ -162,6 +179,7 @@ def _own(largest: bool):
         spill(tries)
         if rows:
             yield out()
+        release()
 
     return run
 
@@ -170,7 +188,7 @@ def owners(spark: SparkSession, docs: DataFrame, largest: bool = True) -> DataFr
     """Every row -> (doc_id, keep_id, group_size, kept, text_sha256)."""
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    buckets = bucket_count(spark, keyed)
+    buckets = bucket_count(spark, text_bytes(keyed))
     keyed = keyed.select("doc_id", "text", F.octet_length("text").cast("long").alias("length"), F.xxhash64("text").alias("hash"))
     folded = keyed.mapInArrow(_fold, "length long, hash long, text binary, members array<long>")
     dealt = folded.repartition(buckets, "length", "hash").sortWithinPartitions("length", "hash")
@@ -188,10 +206,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that own their text; all columns kept.  Rows without an id stay only as sole owners of theirs."""
-    gone = owners(spark, docs).where("not kept").select(F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("__gone"), F.col("text_sha256").alias("__sha")).distinct()
-    tagged = docs.withColumn("__gone", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("__sha", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    return tagged.join(gone, ["__gone", "__sha"], "left_anti").drop("__gone", "__sha")
+    """The rows of ``docs`` that own their text; all columns kept.
+
+    Rows without an id stay only as sole owners of theirs; rows that repeat both id and
+    text share their fate; an empty table gives no rows.
+    """
+    gone, sha = fresh(docs, "gone_id"), fresh(docs, "gone_sha")
+    key = lambda c: F.coalesce(c, F.lit(-(2**63)))
+    dropped = owners(spark, docs).where("not kept").select(key(F.col("doc_id")).alias(gone), F.col("text_sha256").alias(sha)).distinct()
+    tagged = docs.withColumn(gone, key(F.col("doc_id").cast("long"))).withColumn(sha, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    return tagged.join(dropped, [gone, sha], "left_anti").drop(gone, sha)
 
 
 OP3_SQL = """
