@@ -65,29 +65,35 @@ def keys_of(b: Block) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def _associate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents and toxic documents of every key, summed over what a task sees."""
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def out():
-        both = np.concatenate(held)
-        u, at = np.unique(both[:, 0], return_inverse=True)
-        return pa.RecordBatch.from_pydict({"key": u.astype(np.int64), "n": np.bincount(at).astype(np.int64), "toxic": np.bincount(at, both[:, 1]).astype(np.int64)})
+        key, toxic = (np.concatenate(c) for c in zip(*held))
+        u, at = np.unique(key, return_inverse=True)
+        return pa.RecordBatch.from_pydict({"key": u.astype(np.int64), "n": np.bincount(at).astype(np.int64), "toxic": np.bincount(at, toxic).astype(np.int64)})
 
     size = 0
     for b in blocks(batches):
         y = b.longs("y")
         doc, keys = keys_of(b)
         for k in keys:
-            pair = np.unique(np.stack([doc.astype(U64), k], 1), axis=0) if len(k) else np.zeros((0, 2), U64)
-            pair = pair[pair[:, 1] > 0]
-            held.append(np.stack([pair[:, 1], y[pair[:, 0].astype(np.int64)].astype(U64)], 1))
-            size += len(pair)
-        if size > 1_000_000:
+            own = _once(doc, k, k > 0)
+            held.append((k[own], y[doc[own]]))
+            size += len(own)
+        if size > 500_000:
             yield out()
             held, size = [], 0
     if held:
         yield out()
 
 
+def _once(doc: np.ndarray, key: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of the chosen words, one for each document and key."""
+    at = np.flatnonzero(chosen)
+    _, first = np.unique(mix(key[at] ^ mix(doc[at].astype(U64))), return_index=True)
+    return at[first]
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Three minimum shingle hashes of each text: near copies agree in one of them nearly always."""
     for b in blocks(batches):
@@ -100,12 +106,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 low[n > 0] = np.minimum.reduceat(mix(h ^ U64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1))), at).astype(np.int64)
             sigs.append(pa.array(low))
         own = b.batch.slice(b.first, b.n)
-        yield pa.RecordBatch.from_arrays([own.column("y"), own.column("text"), *sigs], names=["y", "text", "s0", "s1", "s2"])
+        yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("y"), own.column("text"), *sigs], names=["doc_id", "y", "text", "s0", "s1", "s2"])
 
 
 def _distinct(doc: np.ndarray, key: np.ndarray, hit: np.ndarray, n: int) -> np.ndarray:
-    pairs = np.unique(np.stack([doc[hit].astype(U64), key[hit]], 1), axis=0) if hit.any() else np.zeros((0, 2), U64)
-    return np.bincount(pairs[:, 0].astype(np.int64), minlength=n)
+    return np.bincount(doc[_once(doc, key, hit)], minlength=n)
 
 
 def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -261,15 +266,18 @@ def _features(fixed: np.ndarray, learned: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
             x = features(b, fixed, learned)
-            yield pa.RecordBatch.from_pydict({"x": pa.array(list(x), pa.list_(pa.float64()))})
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "x"])
 
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    rows = sample(docs, labels, "toxic", FOLDS, HELD_OUT).mapInArrow(_signatures, "y int, text string, s0 long, s1 long, s2 long")
-    # one of each group of near copies: else all words of a toxic text with copies look toxic
-    rows = written(docs.sparkSession, rows.dropDuplicates(["s0", "y"]).dropDuplicates(["s1", "y"]).dropDuplicates(["s2", "y"]), "sample")
+    rows = sample(docs, labels, "toxic", FOLDS, HELD_OUT).mapInArrow(_signatures, "doc_id long, y int, text string, s0 long, s1 long, s2 long")
+    # one of each group of near copies, that of the least id: else all words of a toxic text with copies look toxic
+    for k in range(3):
+        rest = [c for c in rows.columns if c not in (f"s{k}", "y", "doc_id")]
+        rows = rows.groupBy(f"s{k}", "y").agg(F.min(F.struct("doc_id", *rest)).alias("row")).select(f"s{k}", "y", "row.*")
+    rows = written(docs.sparkSession, rows.select("doc_id", "y", "text"), "sample")
     fixed = np.array(sorted(hash_word(w) for w in INSULTS), U64)
     counts = rows.mapInArrow(_associate, "key long, n long, toxic long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     counts = written(docs.sparkSession, counts.where(f"n >= {MIN_TOXIC}"), "keys")
@@ -277,7 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     beyond = F.col("toxic") * F.log(F.col("toxic") / F.col("n") / base) >= float(np.log(max(2, counts.count())))
     strong = counts.where(beyond & (F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_SHARE * F.col("n")))
     learned = np.sort(strong.orderBy(F.desc("toxic"), "key").limit(LEXICON).select("key").toPandas()["key"].to_numpy(np.int64).astype(U64))
-    got = rows.select("text").mapInArrow(_features(fixed, learned), "x array<double>").toPandas()["x"]
+    got = rows.select("doc_id", "text").mapInArrow(_features(fixed, learned), "doc_id long, x array<double>").toPandas()
+    got = got.assign(by=[tuple(x) for x in got["x"]]).sort_values(["doc_id", "by"])["x"]  # the same sums however rows come
     x = np.stack([np.array(r) for r in got]) if len(got) else np.zeros((1, len(FEATURES)))
     # texts without and with hits are always there, so that neither class is empty
     full = [50.0 if name == "words" else 0.0 if name.startswith(("learned", "begin")) and not len(learned) else 4.0 for name in FEATURES]
