@@ -18,12 +18,10 @@ def safe_decimal(text: Column) -> Column:
 
 
 def locale_decimal(text: Column) -> Column:
-    """A number as people write it: spaces and currency words dropped, comma or the last mark as decimal sign."""
-    bare = F.regexp_replace(text, r"[^0-9,.\-]", "")
-    both = bare.contains(",") & bare.contains(".")
-    comma_last = F.instr(F.reverse(bare), ",") < F.instr(F.reverse(bare), ".")
-    point = F.when(both & comma_last, F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).when(both, F.replace(bare, F.lit(","), F.lit(""))).otherwise(F.replace(bare, F.lit(","), F.lit(".")))
-    return point.try_cast("decimal(18,2)")
+    """A number as Czech sources write it: spaces and ``Kč`` or ``CZK`` dropped, a comma is the decimal sign and points before it group; else null."""
+    bare = F.regexp_replace(text, "Kč|CZK|[ \u00a0]", "")
+    point = F.when(bare.contains(","), F.replace(F.when(bare.contains("."), F.replace(bare, F.lit("."), F.lit(""))).otherwise(bare), F.lit(","), F.lit("."))).otherwise(bare)
+    return point.try_cast("decimal(38,6)")
 
 
 def size_band(volume: Column) -> Column:

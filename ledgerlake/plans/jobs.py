@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import values
+from ..functions.redaction import redact_json
 from ..operators import gate, matching, versions
 from ..operators.indicators import concentration
 from ..sources import landing
 from .base import FLOWS, flows, query, table
 from .indicators import _BAND
+from .scalars import FOLDED_WORDS_SQL
 
 
 @query("J02_star", f"WITH {FLOWS} SELECT n_name, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total FROM flows JOIN customer ON payer = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON recipient = s_suppkey GROUP BY n_name")
@@ -98,31 +100,30 @@ def number_in_text(spark, sf_dir):
     return matching.documented(tenders, docs, r"\b([0-9]{16})\b").select("contract", F.col("tender").alias("n"))
 
 
-@query("J14_probable_match", f"""WITH {FLOWS}, t AS (SELECT flow AS tender, payer, type, min(day) AS tender_day, sum(amount) AS price FROM flows GROUP BY ALL),
-c AS (SELECT o_orderkey AS contract, o_custkey AS payer, CAST(o_orderdate AS DATE) AS contract_day, CAST(o_totalprice AS DECIMAL(18,2)) AS value FROM orders),
-p AS (SELECT tender, contract, type, round(least(0.40 + 0.25 * greatest(0.0, 1 - abs(tender_day - contract_day) / 30.0) + 0.25 * greatest(0.0, 1 - abs(CAST(value AS DOUBLE) - CAST(price AS DOUBLE)) / CAST(price AS DOUBLE) / 0.1) + 0.10 * CASE WHEN tender = contract THEN 1.0 ELSE 0.0 END, 0.999), 3) AS score
-  FROM t JOIN c USING (payer) WHERE abs(tender_day - contract_day) <= 30)
-SELECT contract, tender, type, score FROM (SELECT *, row_number() OVER (PARTITION BY contract ORDER BY score DESC, tender DESC, type DESC) AS k FROM p) WHERE k = 1""")
+@query("J14_probable_match", f"""WITH {FLOWS}, t AS (SELECT flow AS tender, payer, recipient, min(order_day) AS tender_day, sum(amount) AS price FROM flows GROUP BY flow, payer, recipient),
+c AS (SELECT flow * 10 + line AS contract, payer, recipient, day AS contract_day, amount AS value FROM flows),
+p AS (SELECT tender, recipient, contract, round(least(0.40 + 0.25 * greatest(0.0, 1 - abs(tender_day - contract_day) / 30.0) + 0.25 * greatest(0.0, 1 - abs(CAST(value AS DOUBLE) - CAST(price AS DOUBLE)) / CAST(price AS DOUBLE) / 0.1) + 0.10 * CASE WHEN tender = contract // 10 THEN 1.0 ELSE 0.0 END, 0.999), 3) AS score
+  FROM t JOIN c USING (payer, recipient) WHERE abs(tender_day - contract_day) <= 30)
+SELECT tender, recipient, contract, score FROM (SELECT *, row_number() OVER (PARTITION BY tender, recipient ORDER BY score DESC, contract DESC) AS k FROM p WHERE score >= 0.70) WHERE k = 1""")
 def probable_match(spark, sf_dir):
-    t = flows(spark, sf_dir).groupBy(F.col("flow").alias("tender"), "payer", "type").agg(F.min("day").alias("tender_day"), F.sum("amount").alias("price"))
-    c = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("payer"), F.to_date("o_orderdate").alias("contract_day"), F.col("o_totalprice").cast("decimal(18,2)").alias("value"))
-    pairs = matching.candidates(t, c, ["payer"], 30)
+    """Tenders and contracts of one payer and one recipient within 30 days: the best contract of each tender, from the threshold on."""
+    f = flows(spark, sf_dir)
+    t = f.groupBy(F.col("flow").alias("tender"), "payer", "recipient").agg(F.min("order_day").alias("tender_day"), F.sum("amount").alias("price"))
+    c = f.select((F.col("flow") * 10 + F.col("line")).alias("contract"), "payer", "recipient", F.col("day").alias("contract_day"), F.col("amount").alias("value"))
+    pairs = matching.candidates(t, c, ["payer", "recipient"], 30)
     price, value = F.col("price").cast("double"), F.col("value").cast("double")
     amount = F.greatest(F.lit(0.0), 1 - F.abs(value - price) / price / 0.1)
-    score = matching.score(values.date_agreement(F.col("tender_day"), F.col("contract_day")), amount, (F.col("tender") == F.col("contract")).cast("double"))
-    scored = pairs.select("contract", "tender", "type", score.alias("score")).withColumn("tie", F.struct("tender", "type"))
-    return matching.best_per(scored, "contract", "score", "tie").select("contract", "tender", "type", "score")
+    score = matching.score(values.date_agreement(F.col("tender_day"), F.col("contract_day")), amount, (F.col("tender") == F.floor(F.col("contract") / 10)).cast("double"))
+    scored = pairs.select("tender", "recipient", "contract", score.alias("score")).where(F.col("score") >= matching.THRESHOLD)
+    return scored.groupBy("tender", "recipient").agg(F.max(F.struct("score", "contract")).alias("best")).select("tender", "recipient", F.col("best.contract").alias("contract"), F.col("best.score").alias("score"))
 
 
-@query("J17_names_by_words", """WITH b AS (SELECT item_id AS id_a, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{4,}'))) AS word FROM benchmark WHERE NOT regexp_matches(lower(text), '[^\\x00-\\x7F]')),
-d AS (SELECT doc_id AS id_b, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{4,}'))) AS word FROM documents WHERE NOT regexp_matches(lower(text), '[^\\x00-\\x7F]')),
-few AS (SELECT word FROM d GROUP BY 1 HAVING count(*) <= 20)
-SELECT id_a, id_b, count(*) AS common FROM b JOIN d USING (word) JOIN few USING (word) GROUP BY 1, 2 HAVING count(*) >= 2""")
+@query("J17_names_by_words", f"""WITH b AS (SELECT item_id AS id_a, unnest({FOLDED_WORDS_SQL}) AS word FROM benchmark), d AS (SELECT doc_id AS id_b, unnest({FOLDED_WORDS_SQL}) AS word FROM documents)
+SELECT id_a, id_b, count(*) AS common FROM b JOIN d USING (word) GROUP BY 1, 2 HAVING count(*) >= 2""")
 def names_by_words(spark, sf_dir):
-    plain = lambda c: ~F.lower(c).rlike(r"[^\x00-\x7F]")
-    a = table(spark, sf_dir, "benchmark").where(plain("text")).select(F.col("item_id").alias("id_a"), F.col("text").alias("text_a"))
-    b = table(spark, sf_dir, "documents").where(plain("text")).select(F.col("doc_id").alias("id_b"), F.col("text").alias("text_b"))
-    return matching.word_pairs(a, b, 2, 20)
+    a = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id_a"), F.col("text").alias("text_a"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id_b"), F.col("text").alias("text_b"))
+    return matching.word_pairs(a, b, 2)
 
 
 @query("J17_all_common_words")
@@ -331,6 +332,25 @@ def redact_rows(spark, sf_dir):
     return landing.redacted(rows, {"c_name": F.col("c_custkey") % 20 <= 8}).select("c_custkey", "c_name", F.array_join("redacted", ",").alias("dropped"))
 
 
+@query(
+    "P10_redact_payload",
+    """SELECT c_custkey,
+  '{"id":' || c_custkey || ',"smluvniStrana":[' || CASE c_custkey % 3 WHEN 0 THEN '{"ico":"' || lpad(c_custkey::VARCHAR, 8, '0') || '","kontakt":{},"nazev":"' || c_name || '"}' WHEN 1 THEN '{"ico":""}' ELSE '{}' END || ',{"platce":true}]}' AS payload,
+  'createdBy,smluvniStrana[0].' || CASE c_custkey % 3 WHEN 0 THEN 'kontakt.E-mail' ELSE 'nazev' END || ',smluvniStrana[1].adresaSidla,smluvniStrana[1].prijmeni' AS dropped
+FROM customer""",
+)
+def redact_payload(spark, sf_dir):
+    """Notices with two parties each: one with an id, an empty one or none, and a person."""
+    rows = table(spark, sf_dir, "customer")
+    ico = F.when(F.col("c_custkey") % 3 == 0, F.lpad(F.col("c_custkey").cast("string"), 8, "0")).when(F.col("c_custkey") % 3 == 1, "")
+    contact = F.struct(F.col("c_mktsegment").alias("E-mail"))
+    firm = F.to_json(F.struct(ico.alias("ico"), F.col("c_name").alias("nazev"), F.when(F.col("c_custkey") % 3 == 0, contact).alias("kontakt")))
+    person = F.to_json(F.struct(F.col("c_name").alias("prijmeni"), F.struct(F.col("c_mktsegment").alias("ulice")).alias("adresaSidla"), F.lit(True).alias("platce")))
+    payload = F.concat(F.lit('{"createdBy":"x","id":'), F.col("c_custkey").cast("string"), F.lit(',"smluvniStrana":['), firm, F.lit(","), person, F.lit("]}"))
+    got = rows.select("c_custkey", redact_json(payload).alias("got"))
+    return got.select("c_custkey", F.col("got.payload").alias("payload"), F.array_join("got.redacted", ",").alias("dropped"))
+
+
 @query("B10_idempotent_append", "SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day FROM events WHERE event_id % 2 = 0 EXCEPT SELECT event_type, user_id, CAST(ts AS DATE) FROM events WHERE event_id % 2 = 1")
 def idempotent_append(spark, sf_dir):
     events = table(spark, sf_dir, "events")

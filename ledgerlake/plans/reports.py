@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import company_name
 from ..operators import gate, reports, statistics
 from .base import FLOWS, flows, query, table
+from .scalars import EVALUATIVE_SQL, SENTENCED_SQL, sentenced
 
 
 @query("A14_run_report", f"""WITH {FLOWS} SELECT 'records' AS metric, o_orderpriority AS part, count(*) AS n FROM flows GROUP BY 2
@@ -57,10 +58,9 @@ def provenance_gate(spark, sf_dir):
     return gate.violations(rows, rules, ["flow", "line"])
 
 
-@query("G10_text_gate", r"SELECT doc_id, 'EVALUATIVE_WORDS' AS code FROM documents WHERE regexp_matches(lower(text || CASE WHEN doc_id % 9 = 0 THEN ' Podezřelý dodavatel' ELSE '' END), 'podez[řr]')")
+@query("G10_text_gate", f"WITH d AS ({SENTENCED_SQL}) SELECT doc_id, 'EVALUATIVE_WORDS' AS code FROM d WHERE " + " OR ".join(EVALUATIVE_SQL.values()))
 def text_gate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.when(F.col("doc_id") % 9 == 0, " Podezřelý dodavatel").otherwise("")).alias("text"))
-    return gate.violations(docs, gate.text_rules("text"), ["doc_id"])
+    return gate.violations(sentenced(table(spark, sf_dir, "documents")), gate.text_rules("text"), ["doc_id"])
 
 
 @query("G13_profile", f"""WITH {FLOWS}, s AS (SELECT recipient, type, vat, sum(CASE WHEN l_discount > 0.05 THEN amount ELSE 0 END)::DOUBLE / sum(amount)::DOUBLE AS share FROM flows GROUP BY ALL)

@@ -102,9 +102,34 @@ def subsidy(spark, sf_dir):
     return flows(spark, sf_dir).select("flow", "line", F.coalesce(kind.isin("dotace_priznana", "dotace_cerpana", "vratka"), F.lit(False)).alias("subsidy"))
 
 
-@query("P15_evaluative_words", r"""SELECT doc_id, regexp_matches(lower(text), 'podez[řr]') OR regexp_matches(lower(text), 'rizikov[\p{L}0-9_]* dodavatel') AS flagged FROM documents""")
+#: Sentences that some of the documents get, so that every pattern and its exceptions occur.
+SENTENCES = [" Podezřelý nákup", " bez podezreni", " rizikový\n dodavatel", " nerizikový dodavatel", " firmy propojené  se starostou", " propojení s obcí", " napojený na úřad", " napojení na kanalizaci", " propojeni s firmou", ""]
+_WORD = r"[\p{L}\p{M}\p{N}_]"
+_START = rf"(?:^|[^\p{{L}}\p{{M}}\p{{N}}_])"
+
+
+def _tied_sql(stem: str, then: str) -> str:
+    """RE2 has no look-ahead: the ending is read and compared."""
+    return rf"len(list_filter(regexp_extract_all(low, '{_START}{stem}({_WORD}*)\s+{then}(?:[^\p{{L}}\p{{M}}\p{{N}}_]|$)', 1), lambda x: NOT starts_with(x, 'í'))) > 0"
+
+
+EVALUATIVE_SQL = {
+    "suspicious": rf"regexp_matches(low, '{_START}podez[řr]')",
+    "risky": rf"regexp_matches(low, '{_START}rizikov{_WORD}*\s+dodavatel')",
+    "linked": _tied_sql("propojen", "se?"),
+    "tied": _tied_sql("napojen", "na"),
+}
+SENTENCED_SQL = "SELECT doc_id, nfc_normalize(lower(text || CASE doc_id % 10 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(SENTENCES)) + " END)) AS low FROM documents"
+
+
+def sentenced(docs):
+    """The documents, each with one of ``SENTENCES`` at its end."""
+    return docs.withColumn("text", F.concat("text", F.element_at(F.array(*[F.lit(x) for x in SENTENCES]), (F.col("doc_id") % 10 + 1).cast("int"))))
+
+
+@query("P15_evaluative_words", f"WITH d AS ({SENTENCED_SQL}) SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in EVALUATIVE_SQL.items()) + ") AS found FROM d")
 def evaluative_words(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", (F.size(texts.evaluative(F.col("text"))) > 0).alias("flagged"))
+    return sentenced(table(spark, sf_dir, "documents")).select("doc_id", F.array_join(texts.evaluative(F.col("text")), ",").alias("found"))
 
 
 @query("P25_missing_reason", """SELECT event_id, nullif(concat_ws('; ', CASE WHEN user_id % 3 = 0 THEN 'payer missing' END, CASE WHEN value IS NULL OR value < 10 THEN 'amount missing' END), '') AS reason FROM events""")
@@ -118,9 +143,12 @@ def entity_key(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", ids.entity_key("subject", F.lpad(F.col("s_suppkey").cast("string"), 8, "0")).alias("entity_id"))
 
 
-@query("H02_long_words", """SELECT doc_id, len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{4,}'))) AS n FROM documents WHERE NOT regexp_matches(lower(text), '[^\\x00-\\x7F]')""")
+FOLDED_WORDS_SQL = f"list_distinct(regexp_extract_all(translate(lower(text), '{texts.MARKED}', '{texts.BARE}'), '[a-z0-9]{{4,}}'))"
+
+
+@query("H02_long_words", f"SELECT doc_id, len({FOLDED_WORDS_SQL}) AS n FROM documents")
 def long_words(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(~F.lower("text").rlike(r"[^\x00-\x7F]")).select("doc_id", F.size(texts.long_words(F.col("text"))).cast("long").alias("n"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(texts.long_words(F.col("text"))).cast("long").alias("n"))
 
 
 @query("H02_all_long_words")
@@ -128,10 +156,14 @@ def all_long_words(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(texts.long_words(F.col("text"))).cast("long").alias("n"))
 
 
+#: Endings as people write the legal forms; what is left of a name is the same for all.
+DRESSED = [", s.r.o.", " a.s.", ", spol. s r.o.", " GmbH", ", p.o.", ", příspěvková organizace", " s.r.o., v.v.i.", " Sp. z o.o.", " SE", " Ltd."]
+
+
 @query("H03_company_name", """SELECT s_suppkey, lower(regexp_replace(s_name, '[^A-Za-z0-9]+', ' ', 'g')) AS name FROM supplier""")
 def company_name(spark, sf_dir):
-    dressed = F.concat(F.col("s_name"), F.when(F.col("s_suppkey") % 2 == 0, ", s.r.o.").otherwise(" a.s."))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", texts.company_name(dressed).alias("name"))
+    ending = F.element_at(F.array(*[F.lit(x) for x in DRESSED]), (F.col("s_suppkey") % len(DRESSED) + 1).cast("int"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", texts.company_name(F.concat("s_name", ending)).alias("name"))
 
 
 @query("H05_subject_agreement", """WITH w AS (SELECT p_partkey, p_brand, list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]{4,}')) AS a, list_distinct(regexp_extract_all(lower(p_type), '[a-z0-9]{4,}')) AS b FROM part)

@@ -39,7 +39,7 @@ def test_entity_key_equals_uuid5(spark):
     assert one(spark, ids.entity_key("subject", F.col("k")), k="00255513") == want
 
 
-@pytest.mark.parametrize("text,want", [("20 068 576 Kč", "20068576.00"), ("1.234,5", "1234.50"), ("1,234.56", "1234.56"), ("12,5", "12.50"), ("abc", None)])
+@pytest.mark.parametrize("text,want", [("20 068 576 Kč", "20068576"), ("1.234,5", "1234.5"), ("1,234.56", "1.23456"), ("12,5", "12.5"), ("12 345,60 CZK", "12345.6"), ("EUR 12", None), ("abc", None), ("", None)])
 def test_locale_decimal(spark, text, want):
     assert one(spark, values.locale_decimal(F.col("t")), t=text) == (Decimal(want) if want else None)
 
@@ -61,6 +61,12 @@ def test_names_and_words(spark):
     assert one(spark, texts.company_name(F.col("t")), t="ŽLUŤOUČKÝ kůň, spol. s r.o.") == "zlutoucky kun"
     assert one(spark, texts.company_name(F.col("t")), t="s.r.o.") == ""
     assert sorted(one(spark, texts.long_words(F.col("t")), t="Oprava školy a školy v obci")) == ["obci", "oprava", "skoly"]
+    for name in ("Firma GmbH", "FIRMA, příspěvková organizace", "Firma Sp. z o.o.", "Firma s.r.o., v.v.i.", "Firma SE"):
+        assert one(spark, texts.company_name(F.col("t")), t=name) == "firma"
+    assert one(spark, texts.company_name(F.col("t")), t="Obec p.o.") == "obec"
+    assert len(texts.MARKED) == len(texts.BARE)
+    for text, want in [("firma rizikového\n  dodavatele", ["risky"]), ("nerizikový dodavatel", []), ("propojena  se", ["linked"]), ("propojeni\u0301 se", []), ("podezr\u030cely", ["suspicious"]), ("", [])]:
+        assert one(spark, texts.evaluative(F.col("t")), t=text) == want
     assert one(spark, texts.evaluative(F.col("t")), t="Podezřelý a napojený na úřad, propojení s") == ["suspicious", "tied"]
 
 

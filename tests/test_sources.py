@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.values import safe_decimal
 from ledgerlake.operators.reports import name_similarity
+from ledgerlake.functions.redaction import redact_json
 from ledgerlake.sources import files, landing
 
 
@@ -76,6 +77,21 @@ def test_hash_links_and_redaction(spark):
     assert [(r.name, r.zip, r.redacted) for r in got] == [(None, None, ["name", "zip"]), ("m", None, [])]
 
 
+def test_personal_data_goes_from_payloads(spark):
+    cases = {
+        '{"dodavatel":[{"nazev":"Jan Novak"}]}': ('{"dodavatel":[{}]}', ["dodavatel[0].nazev"]),
+        '{"dodavatel":{"ICO":"1","nazev":"F","adresa":{"ulice":"U","Telefon":"2"}}}': ('{"dodavatel":{"ICO":"1","adresa":{"ulice":"U"},"nazev":"F"}}', ["dodavatel.adresa.Telefon"]),
+        '{"prijemce":{"obec":"O","datovaSchranka":"d","adresa":{"email":"e"},"x":{"ulice":"kept"}}}': ('{"prijemce":{"x":{"ulice":"kept"}}}', ["prijemce.adresa", "prijemce.datovaSchranka", "prijemce.obec"]),
+        '{"a":[{"rodneCislo":"1"},[{"@e-mail":"x","n":1}]],"owner":"o"}': ('{"a":[{},[{"n":1}]]}', ["a[0].rodneCislo", "a[1][0].@e-mail", "owner"]),
+        '[{"datumNarozeni":"1"},2]': ("[{},2]", ["[0].datumNarozeni"]),
+        "not json": ("not json", []),
+        "null": ("null", []),
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "p string").coalesce(1)
+    got = {r.p: (r.x.payload, r.x.redacted) for r in df.select("p", redact_json(F.col("p")).alias("x")).collect()}
+    assert got == cases | {None: (None, [])}
+
+
 def test_name_similarity(spark):
     df = spark.createDataFrame([("abc def", "abc def"), ("abc def", "def abc"), ("abcd", "abce"), ("", "x")], "a string, b string")
     got = [round(r.x, 3) for r in df.select(name_similarity(F.col("a"), F.col("b")).alias("x")).collect()]
