@@ -60,3 +60,9 @@ def rate_as_of(flows: DataFrame, rates: DataFrame, key: str, day: str, stale_day
     serving = ahead.groupBy(key, "__day").agg(F.max_by(F.struct("rate", "rate_day"), "rate_day").alias("__r"))
     out = flows.join(serving.withColumnRenamed("__day", day), [key, day], "left")
     return out.select(*flows.columns, F.col("__r.rate").alias("rate"), F.col("__r.rate_day").alias("rate_day"))
+
+
+def published(records: DataFrame, with_samples: bool = False) -> DataFrame:
+    """Records without development samples (unless asked for) and without annulled notices."""
+    kept = records.where(~F.coalesce("annulled", F.lit(False)))
+    return kept if with_samples else kept.where(~F.coalesce("dev_sample", F.lit(False)))
