@@ -36,20 +36,53 @@ def completeness(df: DataFrame, frame: str, fields: list[str]) -> DataFrame:
     return g.unpivot(["frame", "n"], fields, "field", "filled")
 
 
+#: Hundredths that one coarse bucket of values spans: so many different values meet in one window at most.
+BUCKET = 1 << 20
+
+
+def percentiles(df: DataFrame, group: str, value: str, shares: list[float]) -> DataFrame:
+    """(group, n, p): exact percentiles of amounts of two decimal places, with linear interpolation.
+
+    A histogram of coarse buckets tells which bucket holds the two values about each
+    rank; only the values of those buckets are counted one by one.  No group's values
+    meet in one buffer: a window sees counts, of coarse buckets or of one bucket's values.
+    """
+    # in a struct, a null group joins itself
+    rows = df.select(F.struct(F.col(group).alias("of")).alias("g"), F.round(F.col(value) * 100).cast("long").alias("v")).where("v is not null")
+    rows = rows.withColumn("b", F.floor(F.col("v") / BUCKET))
+    before = lambda keys, by: F.sum("c").over(W.partitionBy(*keys).orderBy(by)) - F.col("c")
+    coarse = rows.groupBy("g", "b").agg(F.count("*").alias("c")).withColumn("low", before(["g"], "b")).withColumn("n", F.sum("c").over(W.partitionBy("g")))
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(q).alias("q")) for k, q in enumerate(shares)]))
+    wanted = coarse.select("g", "b", "c", "low", "n", at.alias("x")).withColumn("rank", (F.col("n") - 1) * F.col("x.q"))
+    place = F.explode(F.array(F.struct(F.lit(0).alias("up"), F.floor("rank").alias("at")), F.struct(F.lit(1).alias("up"), F.ceil("rank").alias("at"))))
+    wanted = wanted.withColumn("place", place).where("place.at >= low and place.at < low + c")
+    wanted = wanted.select("g", "b", "n", "rank", F.col("x.k").alias("k"), F.col("place.up").alias("up"), (F.col("place.at") - F.col("low")).alias("inside"))
+    fine = rows.join(wanted.select("g", "b").distinct(), ["g", "b"], "left_semi").groupBy("g", "b", "v").agg(F.count("*").alias("c")).withColumn("low", before(["g", "b"], "v"))
+    met = wanted.join(fine, ["g", "b"]).where("inside >= low and inside < low + c")
+    side = lambda up: F.max(F.when(F.col("up") == up, F.col("v"))) / 100.0
+    each = met.groupBy("g", "n", "k").agg(side(0).alias("a"), side(1).alias("z"), F.max(F.col("rank") - F.floor("rank")).alias("part"))
+    each = each.select("g", "n", "k", (F.col("a") + (F.col("z") - F.col("a")) * F.col("part")).alias("p"))
+    return each.groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("k", "p"))).alias("p")).select(F.col("g.of").alias(group), "n", F.transform("p", lambda x: x["p"]).alias("p"))
+
+
+def _with_all(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Each row for its group and, with a null group, for all."""
+    return df.select(F.explode(F.array(F.struct(F.col(group).alias("g"), F.lit(False).alias("every")), F.struct(F.lit(None).alias("g"), F.lit(True).alias("every")))).alias("grp"), F.col(value).alias("value"))
+
+
 def distribution(df: DataFrame, group: str, value: str) -> DataFrame:
     """Exact percentiles by group and of all rows."""
-    p = F.percentile(value, F.array(*[F.lit(q) for q in (0.5, 0.75, 0.9, 0.95)]))
-    g = df.rollup(group).agg(F.count("*").alias("n"), p.alias("p"), F.grouping(group).alias("__all"))
-    return g.select(F.when(F.col("__all") == 1, "all").otherwise(F.col(group)).alias("grp"), "n", *[F.round(F.col("p")[k], 4).alias(name) for k, name in enumerate(("p50", "p75", "p90", "p95"))])
+    g = percentiles(_with_all(df, group, value), "grp", "value", [0.5, 0.75, 0.9, 0.95])
+    return g.select(F.when(F.col("grp.every"), "all").otherwise(F.col("grp.g")).alias("grp"), "n", *[F.round(F.col("p")[k], 4).alias(name) for k, name in enumerate(("p50", "p75", "p90", "p95"))])
 
 
 def thresholds(df: DataFrame, group: str, value: str, q: float = 0.9, least: int = 30) -> DataFrame:
     """A group's own percentile from ``least`` rows on, else that of all rows."""
-    every = df.agg(F.percentile(value, q).alias("p_all"))
-    g = df.groupBy(group).agg(F.count("*").alias("n"), F.percentile(value, q).alias("p"))
+    g = percentiles(_with_all(df, group, value), "grp", "value", [q])
+    every = g.where("grp.every").select(F.col("p")[0].alias("p_all"))
     own = F.col("n") >= least
     # one row: a proven bound
-    return g.join(F.broadcast(every)).select(F.col(group).alias("grp"), "n", F.round(F.when(own, F.col("p")).otherwise(F.col("p_all")), 4).alias("threshold"), own.alias("own"))
+    return g.where("not grp.every").join(F.broadcast(every)).select(F.col("grp.g").alias("grp"), "n", F.round(F.when(own, F.col("p")[0]).otherwise(F.col("p_all")), 4).alias("threshold"), own.alias("own"))
 
 
 def first_rows(df: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:

@@ -65,7 +65,8 @@ def wilson_interval(spark, sf_dir):
 
 @query("A18_percentile", """SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.9), 4) AS p90 FROM orders GROUP BY 1""")
 def percentile(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.round(F.percentile("o_totalprice", 0.9), 4).alias("p90"))
+    p = st.percentiles(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice", [0.9])
+    return p.select("o_orderpriority", F.round(F.col("p")[0], 4).alias("p90"))
 
 
 @query("A19_distribution", """WITH x AS (SELECT o_orderpriority AS grp, o_totalprice AS v FROM orders UNION ALL SELECT 'all', o_totalprice FROM orders)

@@ -194,3 +194,11 @@ def test_all_documents_and_words_are_compared(spark):
     assert got == {(a, b): len(x & y) for a, x in items.items() for b, y in docs.items() if len(x & y) >= 2}
     got = {r.doc_id: r.n for r in catalog.QUERIES["H02_all_long_words"](spark, sf).collect()}
     assert got == {k: len(x) for k, x in docs.items()}
+
+
+def test_percentiles_with_ties_nulls_and_single_rows(spark):
+    rows = [("a", 1.0)] * 5 + [("a", 20000.25), ("a", -3.5), ("b", 7.25), ("c", None), (None, 2.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.n, r.p) for r in statistics.percentiles(df, "g", "v", [0.0, 0.5, 0.9, 1.0]).collect()}
+    assert got["a"] == (7, [-3.5, 1.0, pytest.approx(1 + 0.4 * 19999.25), 20000.25])
+    assert got["b"] == (1, [7.25] * 4) and got[None] == (2, [2.0, 3.0, pytest.approx(3.8), 4.0]) and "c" not in got
