@@ -3,12 +3,13 @@
 *Base.*  Four kinds by fixed patterns and checks: e-mail, address, card, phone.
 
 *Method.*  Around words that could be data (a digit or ``@``) a text has regions
-of a few words.  Candidate segments are runs of up to ``MAX_WORDS`` whole words;
+of words, however many follow one another.  Candidate segments are runs of up to ``MAX_WORDS`` whole words;
 features describe the whole span (digits, parts, checks, shape, length, the word
 before).  A semi-Markov CRF scores every segmentation of a region; a Viterbi
 search over bounded segments chooses boundaries and kinds together.  It is
 trained by likelihood (forward and backward sums over segmentations) on regions
-of a bounded sample, whose silver labels are the base patterns and long
+of a bounded sample (of a region its first ``TRAIN_WORDS`` words, up to
+``TRAIN_LENGTH`` characters; the search has no such bounds), whose silver labels are the base patterns and long
 hexadecimal strings after a cue (kind ``secret``).  Its spans are added where
 they touch no base span; base spans always stay.
 
@@ -34,6 +35,8 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 MAX_WORDS = 4
 #: Regions the model is fitted on, and documents they come from, at most (about).
 TRAIN_REGIONS, TRAIN_DOCS = 400, 3000
+#: Words and characters of a region that the model is fitted on.
+TRAIN_WORDS, TRAIN_LENGTH = 16, 2000
 EPOCHS, RATE, RIDGE = 6, 0.2, 1e-4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -107,8 +110,8 @@ def regions(text: str) -> list[list[tuple[int, int]]]:
             z -= 1
         here = (a, z) if a < z else m.span()
         if _MAYBE.search(m.group()):
-            if last is None or len(last) >= 40:
-                last = [previous] if previous and last is None else []
+            if last is None:
+                last = [previous] if previous else []
                 out.append(last)
             last.append(here)
             after = 1
@@ -125,8 +128,6 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, j: int) -> li
     """Features of the segment of words i..j-1 as a whole."""
     a, z = words[i][0], words[j - 1][1]
     s = text[a:z]
-    if len(s) > 200:
-        return ["long", f"words={j - i}"]
     d = _digits(s)
     letters = sum(c.isalpha() for c in s)
     parts = s.split(".")
@@ -153,30 +154,32 @@ class SemiCrf:
     def __init__(self):
         self.w: dict[tuple[str, str], float] = defaultdict(float)
 
+    def ending(self, text: str, words: list[tuple[int, int]], j: int) -> list[tuple]:
+        """Segments that end before word j: (start, kind, features), the longest first."""
+        out: list[list[tuple]] = []
+        for i in range(j - 1, max(-1, j - 1 - MAX_WORDS), -1):
+            if i < j - 1 and words[i + 1][0] - words[i][1] > 2:
+                break
+            f = span_features(text, words, i, j)
+            own = [(i, None, f)] if i == j - 1 else []
+            if _MAYBE.search(text, words[i][0], words[j - 1][1]):
+                own += [(i, kind, f) for kind in KINDS]
+            out.append(own)
+        return [x for own in reversed(out) for x in own]
+
     def segments(self, text: str, words: list[tuple[int, int]]) -> list[list[tuple]]:
-        """By end: (start, kind, features)."""
-        out: list[list[tuple]] = [[] for _ in range(len(words) + 1)]
-        for i in range(len(words)):
-            for j in range(i + 1, min(len(words), i + MAX_WORDS) + 1):
-                if j > i + 1 and words[j - 1][0] - words[j - 2][1] > 2:
-                    break
-                f = span_features(text, words, i, j)
-                if j == i + 1:
-                    out[j].append((i, None, f))
-                if _MAYBE.search(text, words[i][0], words[j - 1][1]):
-                    out[j] += [(i, kind, f) for kind in KINDS]
-        return out
+        """All segments of a region, by end."""
+        return [self.ending(text, words, j) if j else [] for j in range(len(words) + 1)]
 
     def value(self, kind, f) -> float:
         w = self.w
         return sum(w.get((x, kind), 0.0) for x in f)
 
     def best(self, text: str, words: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
-        """The best segmentation's spans in code points."""
-        table = self.segments(text, words)
+        """The best segmentation's spans in code points; only its back pointers are kept, however long the region."""
         score, back = [0.0] + [-1e30] * len(words), [None] * (len(words) + 1)
         for j in range(1, len(words) + 1):
-            for i, kind, f in table[j]:
+            for i, kind, f in self.ending(text, words, j):
                 v = score[i] + self.value(kind, f)
                 if v > score[j]:
                     score[j], back[j] = v, (i, kind)
@@ -235,7 +238,7 @@ def training_regions(text: str) -> list[tuple[str, list, list]]:
             for j in range(i + 1, min(len(words), i + MAX_WORDS) + 1):
                 if kind := spans.get((words[i][0], words[j - 1][1])):
                     gold.append((kind, i, j))
-        words = words[:16]
+        words = words[:TRAIN_WORDS]
         lo, hi = words[0][0], words[-1][1]
         out.append((text[lo:hi], [(a - lo, z - lo) for a, z in words], [g for g in gold if g[2] <= len(words)]))
     return out
@@ -243,7 +246,7 @@ def training_regions(text: str) -> list[tuple[str, list, list]]:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = [r for t in batch.column("text").to_pylist() for r in training_regions(t or "") if len(r[0]) <= 2000]
+        got = [r for t in batch.column("text").to_pylist() for r in training_regions(t or "") if len(r[0]) <= TRAIN_LENGTH]
         yield pa.RecordBatch.from_pydict({"text": pa.array([r[0] for r in got], pa.string()), "words": pa.array([[x for w in r[1] for x in w] for r in got], pa.list_(pa.int32())), "kinds": pa.array([[k for k, _, _ in r[2]] for r in got], pa.list_(pa.string())), "ends": pa.array([[x for _, i, j in r[2] for x in (i, j)] for r in got], pa.list_(pa.int32()))})
 
 

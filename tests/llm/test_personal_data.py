@@ -46,6 +46,39 @@ def test_query_keeps_base_and_adds_secrets(spark):
     assert wanted and found >= 0.8 * wanted
 
 
+def test_best_is_the_best_of_all_segmentations():
+    rng = random.Random(4)
+    model = pd7.SemiCrf()
+    parts = ["call", "+420", "123", "456", "789", "a@b.c", "key", "deadbeefdeadbeefdeadbeefdeadbeef", "4111", "1111", "1.2.3.4", "x"]
+    for _ in range(40):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 8)))
+        for words in pd7.regions(text):
+            table = model.segments(text, words)
+            for j in range(len(words) + 1):
+                for _, kind, f in table[j]:
+                    for x in f:
+                        model.w.setdefault((x, kind), rng.uniform(-1, 1))
+
+            def every(j):
+                return [0.0] if j == 0 else [v + model.value(kind, f) for i, kind, f in table[j] for v in every(i)]
+
+            spans = {(a, z): k for k, a, z in model.best(text, words)}
+            at, total = 0, 0.0
+            while at < len(words):
+                end = next((z for z in range(len(words), at, -1) if (words[at][0], words[z - 1][1]) in spans), None)
+                kind = spans[words[at][0], words[end - 1][1]] if end else None
+                end = end or at + 1
+                total += next(model.value(k, f) for i, k, f in table[end] if i == at and k == kind)
+                at = end
+            assert abs(total - max(every(len(words)))) < 1e-9
+
+
+def test_long_runs_of_numbers_are_one_region():
+    text = "log " + "7 " * 5000 + "end"
+    assert [len(w) for w in pd7.regions(text)] == [5002]
+    assert pd7.SemiCrf().best(text, pd7.regions(text)[0])[-1][2] <= len(text)
+
+
 def test_edges(spark, docs_of):
     df = docs_of([(i, t) for i, t in enumerate(texts()[:40])] + [(None, "x 1.2.3.4"), (3, "a@b.c")])
     model = pd7.fit(df)
