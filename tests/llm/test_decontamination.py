@@ -1,6 +1,11 @@
+import math
 import random
 import re
+from collections import Counter
 
+import pytest
+
+from ledgerlake.llm import decontamination
 from ledgerlake.llm.decontamination import ANSWER, QUESTION, contaminated, without_contaminated
 
 
@@ -51,3 +56,63 @@ def test_whole_copies_in_the_smallest_tables(spark):
     texts = [(r.doc_id, " " + " ".join(words(r.text)) + " ") for r in docs.collect()]
     want = {(d, r.item_id) for r in bench.collect() for d, t in texts if f" {' '.join(words(r.text))} " in t}
     assert want and want <= got and len(got - want) <= len(want) // 10 + 1
+
+
+def trigrams(w):
+    k = min(3, max(1, len(w)))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
+def exhaustive(docs, items):
+    """Every item against every window, by the formula, without an index."""
+    items = [(i, t) for i, t in dict.fromkeys(items) if i is not None and words(t)]
+    bags = [Counter(words(t)) for _, t in items]
+    df = Counter(w for b in bags for w in b)
+    n, mean = len(items), sum(sum(b.values()) for b in bags) / max(1, len(items))
+    out = {}
+    for (i, text), bag in zip(items, bags):
+        size = sum(bag.values())
+        impact = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean)) for w, tf in bag.items()}
+        w = words(text)
+        lines = [x for x in text.split("\n") if x.strip()]
+        end = len(words(lines[-1])) if len(lines) > 1 else 0
+        if not 3 <= end < len(w) - 2:
+            end = max(3, len(w) // 4)
+        cut = max(len(w) - end, min(3, len(w)))
+        parts = trigrams(w[:cut]), trigrams(w[cut:] if len(w) - cut >= 3 else w[-3:])
+        stride = 32
+        while stride < size:
+            stride *= 2
+        for d, t in docs:
+            held = words(t)
+            for low in range(0, len(held), stride):
+                share = sum(impact.get(x, 0) for x in set(held[low : low + 2 * stride])) / sum(impact.values())
+                if share < 0.6 - 1e-9:
+                    continue
+                span = held[low : low + 2 * stride + 2]
+                grams = {tuple(span[a : a + k]) for k in (1, 2, 3) for a in range(len(span) - k + 1)}
+                q, a = (len(p & grams) / len(p) for p in parts)
+                if q >= QUESTION and a >= ANSWER:
+                    out[d, i, text] = max(out.get((d, i, text), (0, 0, 0)), (share, q, a))
+    return sorted((d, i, *(round(x, 6) for x in row)) for (d, i, _), row in out.items())
+
+
+@pytest.mark.parametrize("shard_items", [512, 8])
+def test_equals_exhaustive_search_however_items_are_dealt(spark, docs_of, monkeypatch, shard_items):
+    """Edited items near the thresholds, items of many lengths, repeated items, an id with two texts, ties."""
+    monkeypatch.setattr(decontamination, "SHARD_ITEMS", shard_items)
+    rng = random.Random(17)
+    vocab = ["the", "of", "and"] * 20 + [f"v{k}" for k in range(200)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(k, " ".join(say(rng.choice([1, 2, 3, 5, 9, 20, 32, 33, 60, 150])))) for k in range(90)]
+    items += [(90, " ".join(say(12)) + "\n" + " ".join(say(4))), (91, "  \n "), (92, None), (None, items[4][1]), items[7], (7, " ".join(say(25))), (93, items[8][1])]
+    docs = []
+    for d in range(120):
+        copy = rng.choice([t for i, t in items if t and t.strip() and i is not None]).split()
+        for _ in range(rng.randrange(0, 1 + len(copy) // 3)):
+            copy[rng.randrange(len(copy))] = rng.choice(vocab)
+        docs.append((d, " ".join(say(rng.randrange(0, 120)) + copy + say(rng.randrange(0, 60)))))
+    want = exhaustive(docs, items)
+    got = contaminated(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(want) > 60
+    assert sorted((r.doc_id, r.item_id, *(round(x, 6) for x in r[2:])) for r in got) == want
