@@ -37,7 +37,7 @@ from .textblocks import LOWER, NOT_ALNUM, U64, Block, blocks, run_hashes, split_
 K1, B = 1.2, 0.75
 RETRIEVE = 0.6
 QUESTION, ANSWER = 0.6, 0.5
-ITEM_BLOCK = 16
+ITEM_BLOCK = 4  # few, so that the largest impacts of a block bound the score of an item sharply
 LEAST_CLASS = 5  # cells of 32 words
 SHARD_ITEMS, SHARD_WORDS, SCAN_SHARDS = 512, 1 << 19, 8
 
