@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Letters with marks and their bare letters.
 MARKED = "áčďéěíňóřšťúůýžäöüëïôâêîûàèùçñľĺŕőűńśźżąęćăşţ"
@@ -59,3 +61,9 @@ def evaluative(text: Column) -> Column:
     # of the letters that decide, those written with a combining mark are composed
     low = F.replace(F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("r\u030c"), F.lit("ř")), F.lit("i\u0301"), F.lit("í"))
     return F.array_compact(F.array(*[F.when(low.rlike(f"(?U){p}"), F.lit(name)) for name, p in EVALUATIVE.items()]))
+
+
+@F.pandas_udf(StringType())
+def composed_lower(text: pd.Series) -> pd.Series:
+    """Lower case in composed form (NFC), marks kept; Spark has no function that composes letters."""
+    return text.str.normalize("NFC").str.lower()

@@ -1,4 +1,4 @@
 """All registered queries of the library's own operators, with their SQL."""
 
-from . import indicators, jobs, notices, reports, scalars, statistics  # noqa: F401
+from . import contracts, indicators, jobs, notices, reports, scalars, statistics  # noqa: F401
 from .base import ORACLE_SQL, QUERIES  # noqa: F401

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import calendar as cal
 from ledgerlake.functions import contract_text as ct
+from ledgerlake.functions import durations
 from ledgerlake.functions import identifiers as ids
 from ledgerlake.functions import redaction, texts, values
 from ledgerlake.operators import indicators, matching, statistics, versions
@@ -149,6 +150,31 @@ def test_contract_texts(spark):
     assert one(spark, ct.without_vat_variants(F.col("v")), v=[100.0, 121.0, 300.0]) == [100.0, 300.0]
 
 
+def test_amounts_in_hard_places(spark):
+    """Spaces that don't break, both currencies around, words that hold digits, contexts, many amounts, nulls and empty texts."""
+    shown = lambda t: [(str(s.value), s.currency) for s in one(spark, ct.amounts(F.col("t")), t=t, k=1)]
+    assert shown("Celkem 1\u00a0234,5 Kč, EUR 12 a Kč 500 Kč; 7,-") == [("1234.50", "CZK"), ("12.00", "EUR"), ("500.00", "CZK"), ("7.00", "CZK")]
+    assert shown("m3 EUR, x5 Kč, 0 Kč, 1.000,-- CZK, 5 Kčs, 2,-- USD") == [("1000.00", "CZK"), ("2.00", "USD")]
+    assert shown("1Kč " * 300) == [("1.00", "CZK")] * 300
+    assert shown("") == []
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS t").select(ct.amounts(F.col("t")).alias("x")).first().x == []
+    found = one(spark, ct.amounts(F.col("t")), t="cena " + "x" * 150 + " 600 Kč. Jistota je cena 700 Kč / ks ročně", k=1)
+    assert [s.before[:4] for s in found] == ["cena", "cena"] or found[0].before.startswith("cena")
+    got = one(spark, ct.prices(F.array(*[F.col("t")])), t=found[0], k=1)
+    assert [float(s.value) for s in got] == [600]
+    assert [float(s.value) for s in one(spark, ct.prices(F.array(F.col("t"))), t=found[1], k=1)] == []
+
+
+def test_durations_and_annual_values(spark):
+    t = "Záruka na dobu 10 let. Služby po dobu 2 let; dodávky od 1.1.2020 do 31. 12. 2021, licence na dobu jednoho roku."
+    d = one(spark, durations.duration(F.col("t")), t=t, k=1)
+    assert (d.indefinite, d.days, d.continuous) == (None, 730, True)
+    d = one(spark, durations.duration(F.col("t")), t="Smlouva se souhlasem na dobu neurčitou. Dohoda na dobu určitou. Plnění na dobu 99 let", k=1)
+    assert (d.indefinite, d.days, d.continuous) == (False, None, False)
+    rows = durations.annual_values(spark.createDataFrame([(1, ""), (2, None)], "k int, t string"), "k", "t").collect()
+    assert [(r.repeated, r.verdict, r.annual) for r in rows] == [(False, None, None)] * 2
+
+
 def test_matching_blocks_and_scores(spark):
     t = spark.createDataFrame([(1, "b", D(2026, 1, 10)), (2, "b", D(2026, 6, 1))], "tender int, buyer string, tender_day date")
     c = spark.createDataFrame([(7, "b", D(2026, 1, 30)), (8, "x", D(2026, 1, 10))], "contract int, buyer string, contract_day date")
