@@ -120,4 +120,6 @@ def test_long_runs_are_handed_out_in_parts():
 def test_empty_table_and_repeated_rows(spark, docs_of):
     assert P.pack(docs_of([])).collect() == []
     got = P.pack(docs_of([(None, None), (1, "a b"), (1, "a b")]).coalesce(1)).collect()
-    assert [(r.doc_id, r.start, r.length, r.doc_tokens) for r in got] == [(None, 0, 1, 1), (1, 0, 3, 3), (1, 0, 3, 3)]
+    # seven ids as 1 + (3 + 1) + 2: the last window of six is split into powers of two
+    assert [(r.doc_id, r.start, r.length, r.doc_tokens) for r in got] == [(None, 0, 1, 1), (1, 0, 3, 3), (1, 0, 1, 3), (1, 1, 2, 3)]
+    assert [r.sequence_id for r in got] == [0, 1, 1, 2] and [r.offset for r in got] == [0, 0, 3, 0]
