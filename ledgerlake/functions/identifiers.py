@@ -11,9 +11,7 @@ NAMESPACE = "6f1c2a521b8e4f439d360d8e52b8a6a1"
 
 def company_id(raw: Column) -> Column:
     """Eight digits from an id as sources write it; null for text, zero or more than eight digits."""
-    text = F.trim(raw)
-    text = F.when(text.rlike(r"^[0-9]+\.0+$"), F.split_part(text, F.lit("."), F.lit(1))).otherwise(text)
-    text = F.when(F.upper(text).startswith("CZ"), F.substring(text, 3, 1_000_000)).otherwise(text)
+    text = F.regexp_replace(F.regexp_replace(F.trim(raw), r"^([0-9]+)\.0+$", "$1"), "^[Cc][Zz]", "")
     digits = F.regexp_replace(text, r"[^0-9]", "")
     mostly = F.length(digits) >= F.length(F.replace(text, F.lit(" "), F.lit(""))) - 2
     ok = (F.length(digits) > 0) & (F.length(digits) <= 8) & ~digits.rlike("^0*$") & mostly
@@ -26,16 +24,22 @@ def check_digit_ok(ico: Column) -> Column:
     return F.coalesce(ico.rlike("^[0-9]{8}$") & ((F.lit(11) - total % 11) % 10 == F.substring(ico, 8, 1).cast("int")), F.lit(False))
 
 
+def id_fault(raw: Column, ico: Column) -> Column:
+    """Why an id isn't valid, given its normal form; null for a valid one."""
+    return F.when(raw.isNull() | (F.trim(raw) == ""), "missing").when(ico.isNull(), "bad_format").when(~check_digit_ok(ico), "bad_check_digit")
+
+
 def classify_id(raw: Column) -> Column:
     """struct(ico, reason); reason is null for a valid id."""
     ico = company_id(raw)
-    reason = F.when(raw.isNull() | (F.trim(raw) == ""), "missing").when(ico.isNull(), "bad_format").when(~check_digit_ok(ico), "bad_check_digit")
+    reason = id_fault(raw, ico)
     return F.struct(F.when(reason.isNull(), ico).alias("ico"), reason.alias("reason"))
 
 
 def entity_key(table: str, natural: Column) -> Column:
-    """Version-5 UUID of ``table:natural`` in the fixed namespace."""
+    """Version-5 UUID of ``table:natural`` in the fixed namespace; null without a natural key."""
     name = F.concat(F.lit(f"{table}:"), natural).cast("binary")
     h = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE)), name))
     variant = F.substring(F.lit("89ab"), (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1).cast("int"), F.lit(1))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.when(natural.isNotNull(), uuid)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -15,6 +16,8 @@ def query(name: str, sql: str | None = None):
     """Register a query under ``name`` with the SQL that gives the same rows."""
 
     def register(f):
+        if name in QUERIES:
+            raise ValueError(f"a query of the name {name} is there already")
         QUERIES[name] = f
         if sql:
             ORACLE_SQL[name] = sql
@@ -55,3 +58,16 @@ FLOWS = """flows AS (
          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_returnflag AS type, l_linestatus AS vat,
          l_discount, o_orderpriority, o_orderstatus
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+#: What tells the lines of an order apart: line numbers come more than once.
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with ``n``, their place in the order."""
+    return table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)))
+
+
+#: The same in SQL.
+LINES = f"lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)})::INTEGER AS n FROM lineitem)"

@@ -347,7 +347,7 @@ def redact_payload(spark, sf_dir):
     firm = F.to_json(F.struct(ico.alias("ico"), F.col("c_name").alias("nazev"), F.when(F.col("c_custkey") % 3 == 0, contact).alias("kontakt")))
     person = F.to_json(F.struct(F.col("c_name").alias("prijmeni"), F.struct(F.col("c_mktsegment").alias("ulice")).alias("adresaSidla"), F.lit(True).alias("platce")))
     payload = F.concat(F.lit('{"createdBy":"x","id":'), F.col("c_custkey").cast("string"), F.lit(',"smluvniStrana":['), firm, F.lit(","), person, F.lit("]}"))
-    got = rows.select("c_custkey", redact_json(payload).alias("got"))
+    got = rows.select("c_custkey", redact_json(payload, frozenset({"smluvniStrana"}), frozenset({"createdBy"})).alias("got"))
     return got.select("c_custkey", F.col("got.payload").alias("payload"), F.array_join("got.redacted", ",").alias("dropped"))
 
 

@@ -172,11 +172,6 @@ def subject_agreement(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.round(texts.subject_agreement(F.col("p_name"), F.col("p_type")), 6).alias("score"))
 
 
-@query("H07_json_path", """SELECT event_id, json_type(props) AS kind, len(json_keys(props)) AS n_keys FROM events""")
-def json_path(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.when(F.json_object_keys("props").isNotNull(), "OBJECT").alias("kind"), F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
-
-
 @query("H12_working_days", """
 WITH years AS (SELECT y FROM range(1990, 2031) t(y)),
 p AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),

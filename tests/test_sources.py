@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.values import safe_decimal
 from ledgerlake.operators.reports import name_similarity
-from ledgerlake.functions.redaction import redact_json
+from ledgerlake.functions.redaction import ALWAYS, PARTIES, redact_json, redact_notice, redact_source
 from ledgerlake.sources import files, landing
 
 
@@ -88,10 +88,32 @@ def test_personal_data_goes_from_payloads(spark):
         "null": ("null", []),
     }
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "p string").coalesce(1)
-    got = {r.p: (r.x.payload, r.x.redacted) for r in df.select("p", redact_json(F.col("p")).alias("x")).collect()}
+    got = {r.p: (r.x.payload, r.x.redacted) for r in df.select("p", redact_json(F.col("p"), PARTIES["open_data"], ALWAYS["notices"]).alias("x")).collect()}
     assert got == cases | {None: (None, [])}
 
 
+def test_parties_depend_on_the_source(spark):
+    text = '{"owner":{"prijmeni":"P"},"dodavatel":{"nazev":"N"},"dodavatele":[{"nazev":"D"}],"smluvniStrana":{"obec":"O"}}'
+    df = spark.createDataFrame([(text,)], "p string")
+    gone = {s: df.select(redact_source(F.col("p"), s)["redacted"]).first()[0] for s in PARTIES}
+    assert gone == {"contracts": ["smluvniStrana.obec"], "notices": ["dodavatele[0].nazev", "owner"], "open_data": ["dodavatel.nazev", "dodavatele[0].nazev"], "buyer_profiles": ["dodavatel.nazev"]}
+
+
+def test_contacts_owners_and_nameless_organisations_go_from_notice_trees(spark):
+    firm = {"BT-500-Organization-Company": "Firm", "ND-CompanyLegalEntity": [{"x": 1}, {"BT-501-Organization-Company": "27502988"}], "ND-CompanyContact": {"BT-503-Organization-Company": "1", "BT-739-Organization-Company": "2"}}
+    person = {"BT-500-Organization-Company": "Jan", "ND-CompanyAddress": {"BT-510(a)-Organization-Company": "U", "BT-502-X": "c"}, "BT-165-Organization-Company": "sme"}
+    empty = {"ND-CompanyLegalEntity": {"BT-501-Organization-Company": ""}, "ND-CompanyAddress": {"a": 1}}
+    tree = {"deti": [{"owner": {"name": "X"}, "data": {"orgs": [{"ND-Company": firm}, {"ND-Company": person}, {"ND-Company": empty}], "ND-UBO": [{"BT-500-UBO": "Jan"}]}}]}
+    df = spark.createDataFrame([(json.dumps(tree),), ("no json",), (None,)], "p string").coalesce(1)
+    first, second, third = [r.x for r in df.select(redact_notice(F.col("p")).alias("x")).collect()]
+    left = json.loads(first.payload)["deti"][0]["data"]["orgs"]
+    assert left == [{"ND-Company": firm | {"ND-CompanyContact": {}}}, {"ND-Company": {"BT-165-Organization-Company": "sme"}}, {"ND-Company": {"ND-CompanyLegalEntity": {"BT-501-Organization-Company": ""}}}]
+    orgs = "deti[0].data.orgs"
+    assert first.redacted == ["deti[0].data.ND-UBO", f"{orgs}[0].ND-Company.ND-CompanyContact.BT-503-Organization-Company", f"{orgs}[0].ND-Company.ND-CompanyContact.BT-739-Organization-Company",
+        f"{orgs}[1].ND-Company.BT-500-Organization-Company", f"{orgs}[1].ND-Company.ND-CompanyAddress", f"{orgs}[2].ND-Company.ND-CompanyAddress", "deti[0].owner"]
+    assert (second.payload, third.payload) == ("no json", None)
+
+
 def test_name_similarity(spark):
     df = spark.createDataFrame([("abc def", "abc def"), ("abc def", "def abc"), ("abcd", "abce"), ("", "x")], "a string, b string")
     got = [round(r.x, 3) for r in df.select(name_similarity(F.col("a"), F.col("b")).alias("x")).collect()]
