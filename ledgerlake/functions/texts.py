@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Letters with marks and their bare letters.
-MARKED = "áčďéěíňóřšťúůýžäöüëïôâêîûàèùçñľĺŕőűńśźżąęćăşţ"
-BARE = "acdeeinorstuuyzaoueioaeiuaeucnllrounszzaecast"
+#: All characters that Unicode takes apart into one without a mark, those into several with a Latin letter or digit, and all marks.
+_PARTS = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in map(chr, range(0x80, 0x1F200)) if not 0xD800 <= ord(c) < 0xE000 and not unicodedata.combining(c)}
+_ONE = {c: d for c, d in _PARTS.items() if d != c and len(d) == 1}
+_SEVERAL = {c: d for c, d in _PARTS.items() if len(d) > 1 and any(x.isascii() and x.isalnum() for x in d)}
+_MARKS = "".join(c for c in map(chr, range(0x80, 0x1F200)) if not 0xD800 <= ord(c) < 0xE000 and unicodedata.combining(c))
 
 #: Legal forms that end a company name.
 LEGAL_FORMS = [
@@ -29,8 +33,11 @@ EVALUATIVE = {
 
 
 def fold(text: Column) -> Column:
-    """Lower case without marks."""
-    return F.translate(F.lower(text), MARKED, BARE)
+    """Lower case without marks, whatever the letters: composed, decomposed, and compatibility forms such as ligatures."""
+    parts = F.create_map(*[F.lit(x) for pair in _SEVERAL.items() for x in pair])
+    rare = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(parts[c], c)), "")
+    plain = F.when(text.rlike(f"[{''.join(_SEVERAL)}]"), rare).otherwise(text)
+    return F.lower(F.translate(plain, "".join(_ONE) + _MARKS, "".join(_ONE.values())))
 
 
 def long_words(text: Column) -> Column:

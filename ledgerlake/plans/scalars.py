@@ -143,7 +143,7 @@ def entity_key(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", ids.entity_key("subject", F.lpad(F.col("s_suppkey").cast("string"), 8, "0")).alias("entity_id"))
 
 
-FOLDED_WORDS_SQL = f"list_distinct(regexp_extract_all(translate(lower(text), '{texts.MARKED}', '{texts.BARE}'), '[a-z0-9]{{4,}}'))"
+FOLDED_WORDS_SQL = "list_distinct(regexp_extract_all(lower(strip_accents(text)), '[a-z0-9]{4,}'))"
 
 
 @query("H02_long_words", f"SELECT doc_id, len({FOLDED_WORDS_SQL}) AS n FROM documents")
@@ -166,6 +166,14 @@ def company_name(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", texts.company_name(F.concat("s_name", ending)).alias("name"))
 
 
+@query("H02_any_letters", """WITH n AS (SELECT o_orderkey, o_orderkey % 7 AS k FROM orders) SELECT o_orderkey, CASE k WHEN 0 THEN 'alesund,forli' WHEN 1 THEN 'podebradska,sprava' WHEN 2 THEN 'fiscal,office' WHEN 3 THEN 'istanbul,gokceada' WHEN 4 THEN 'full,width' WHEN 5 THEN '' ELSE 'viet,uong' END AS words FROM n""")
+def any_letters(spark, sf_dir):
+    """Letters of any alphabet: rings and tildes, combining marks, ligatures, dotted capitals, full width, none at all."""
+    kinds = ["Ålesund São Forlì", "Pode\u030cbradska\u0301 spra\u0301va", "\ufb01scal o\ufb03ce", "İstanbul Gökçeada", "\uff26\uff35\uff2c\uff2c \uff57\uff49\uff44\uff54\uff48", "日本語 ελλ", "Viêt ưỡng uơng"]
+    text = F.element_at(F.array(*[F.lit(x) for x in kinds]), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(texts.long_words(text), ",").alias("words"))
+
+
 @query("H05_subject_agreement", """WITH w AS (SELECT p_partkey, p_brand, list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]{4,}')) AS a, list_distinct(regexp_extract_all(lower(p_type), '[a-z0-9]{4,}')) AS b FROM part)
 SELECT p_partkey, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0 ELSE round(least(1.0, len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) / 0.5), 6) END AS score FROM w""")
 def subject_agreement(spark, sf_dir):

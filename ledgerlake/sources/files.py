@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,25 +49,27 @@ def notice_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, rows.agg(F.count("*").alias("landed"))
 
 
-def values_of_key(df: DataFrame, id_column: str, json: str, key: str, max_depth: int = 12) -> DataFrame:
-    """(id, place, value) of every value of a key anywhere in a JSON tree, lists flattened.
+def values_of_key(df: DataFrame, id_column: str, json: str, key: str) -> DataFrame:
+    """(id, place, value) of every scalar under a key anywhere in a JSON tree, lists flattened, in the order of ``place``.
 
-    The tree is opened one level at a time, all rows at once; the depth is bounded
-    by ``max_depth`` and stops at the first level without objects.
+    One recursive query opens all trees a level at a time, of any depth; every level reads what the one above
+    found and opens nothing again.  A list's members keep the key of the list; texts that aren't JSON give nothing.
     """
-    scalar = "schema_of_variant(node) NOT LIKE 'ARRAY%' AND schema_of_variant(node) NOT LIKE 'OBJECT%'"
-    level = df.select(F.col(id_column).alias("id"), F.lit("").alias("place"), F.lit("").alias("key"), F.try_parse_json(json).alias("node")).where("node is not null")
-    found = []
-    for _ in range(max_depth):
-        inner = level.where(f"NOT ({scalar})")
-        # a list's members keep the key of the list
-        level = df.sparkSession.sql(
-            "SELECT n.id, concat(n.place, '/', lpad(cast(e.pos AS string), 6, '0')) AS place, coalesce(e.key, n.key) AS key, e.value AS node"
-            " FROM {nodes} n, LATERAL variant_explode(n.node) e",
-            nodes=inner,
+    rows = df.select(F.col(id_column).alias("id"), F.try_parse_json(json).alias("node")).where("node is not null")
+    found = df.sparkSession.sql(
+        """
+        WITH RECURSIVE tree(id, place, key, node, inner) MAX RECURSION LEVEL 10000 AS (
+          SELECT id, '', CAST(NULL AS STRING), node, schema_of_variant(node) LIKE 'ARRAY%' OR schema_of_variant(node) LIKE 'OBJECT%' FROM {rows}
+          UNION ALL
+          SELECT t.id, concat(t.place, '/', lpad(cast(e.pos AS string), 6, '0')), coalesce(e.key, t.key), e.value,
+                 schema_of_variant(e.value) LIKE 'ARRAY%' OR schema_of_variant(e.value) LIKE 'OBJECT%'
+          FROM tree t, LATERAL variant_explode(t.node) e WHERE t.inner
         )
-        found.append(level.where((F.col("key") == key) & F.expr(scalar)).select("id", "place", F.expr("try_variant_get(node, '$', 'string')").alias("value")))
-    return reduce(DataFrame.unionByName, found)
+        SELECT id, place, key, try_variant_get(node, '$', 'string') AS value FROM tree WHERE NOT inner
+        """,
+        rows=rows,
+    )
+    return found.where(F.col("key") == key).drop("key")
 
 
 def grants(spark: SparkSession, grant: str, recipient: str, decision: str, first: str, stop: str) -> tuple[DataFrame, DataFrame, DataFrame]:

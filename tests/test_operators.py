@@ -2,6 +2,7 @@
 
 import datetime
 import re
+import unicodedata
 import uuid
 from decimal import Decimal
 
@@ -65,7 +66,7 @@ def test_names_and_words(spark):
     for name in ("Firma GmbH", "FIRMA, příspěvková organizace", "Firma Sp. z o.o.", "Firma s.r.o., v.v.i.", "Firma SE"):
         assert one(spark, texts.company_name(F.col("t")), t=name) == "firma"
     assert one(spark, texts.company_name(F.col("t")), t="Obec p.o.") == "obec"
-    assert len(texts.MARKED) == len(texts.BARE)
+    assert one(spark, texts.fold(F.col("t")), t="Ålesund São Forlì ﬁ Ⅳ ½ 𝐀") == "alesund sao forli fi iv 1⁄2 a"
     for text, want in [("firma rizikového\n  dodavatele", ["risky"]), ("nerizikový dodavatel", []), ("propojena  se", ["linked"]), ("propojeni\u0301 se", []), ("podezr\u030cely", ["suspicious"]), ("", [])]:
         assert one(spark, texts.evaluative(F.col("t")), t=text) == want
     assert one(spark, texts.evaluative(F.col("t")), t="Podezřelý a napojený na úřad, propojení s") == ["suspicious", "tied"]
@@ -132,7 +133,7 @@ def test_contract_dump(spark, tmp_path):
 
 def test_json_trees(spark):
     df = spark.createDataFrame([(1, '{"a":{"k":"x","b":[{"k":["y","z"]},{"c":{"k":"w"}}]}}'), (2, "no json"), (3, None)], "id int, payload string")
-    got = [(r.id, r.value) for r in files.values_of_key(df, "id", "payload", "k", 6).orderBy("id", "place").collect()]
+    got = [(r.id, r.value) for r in files.values_of_key(df, "id", "payload", "k").orderBy("id", "place").collect()]
     assert got[0][0] == 1 and sorted(v for _, v in got) == ["w", "x", "y", "z"]
     out = df.union(spark.createDataFrame([(4, '{"owner":{"name":"n"},"dodavatele":[{"ico":"","nazev":"Jan"},{"ico":"1","nazev":"Firma"}]}')], "id int, payload string")).select("id", redaction.redact_source(F.col("payload"), "notices").alias("x")).select("id", "x.*").where("id = 4").first()
     assert out.payload == '{"dodavatele":[{"ico":""},{"ico":"1","nazev":"Firma"}]}' and out.redacted == ["dodavatele[0].nazev", "owner"]
@@ -211,8 +212,8 @@ def test_all_documents_and_words_are_compared(spark):
     sf = "/root/testdata/sf0.001"
 
     def long(text):
-        bare = str.maketrans(texts.MARKED, texts.BARE)
-        return set(re.findall("[a-z0-9]{4,}", (text or "").lower().translate(bare)))
+        bare = "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c))
+        return set(re.findall("[a-z0-9]{4,}", bare.lower()))
 
     items = {r.item_id: long(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     docs = {r.doc_id: long(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -228,3 +229,93 @@ def test_percentiles_with_ties_nulls_and_single_rows(spark):
     got = {r.g: (r.n, r.p) for r in statistics.percentiles(df, "g", "v", [0.0, 0.5, 0.9, 1.0]).collect()}
     assert got["a"] == (7, [-3.5, 1.0, pytest.approx(1 + 0.4 * 19999.25), 20000.25])
     assert got["b"] == (1, [7.25] * 4) and got[None] == (2, [2.0, 3.0, pytest.approx(3.8), 4.0]) and "c" not in got
+
+
+def test_recipients_by_id_else_by_a_unique_name(spark):
+    from ledgerlake.operators import entities as en
+
+    register = spark.createDataFrame([("45023522", "Stavby Novák, a.s.", False), ("25400339", "Jan Malý", True), ("00255513", "Obec Lhota", False), ("00064581", "OBEC LHOTA", False), ("27502988", "Vodárna severních Čech s.r.o.", None)], "ico string, name string, person boolean")
+    rows = [
+        (1, "45023522", "stavby novak", False), (2, "45023522", "Pekárna", False), (3, "45023522", None, None), (4, "45023522", "x", True), (5, "25400339", "x", True), (6, "11111111", "x", False), (7, "00006947", "x", False),
+        (8, "", "Vodarna severnich Cech, spol. s r.o.", None), (9, None, "Obec Lhota", False), (10, None, "Jan", True), (11, None, "Obec", False), (12, None, None, False), (13, None, "s.r.o.", False),
+    ]
+    got = {r.id: (r.category, r.register_ico) for r in en.match(spark.createDataFrame(rows, "id int, ico string, name string, person boolean"), register).collect()}
+    assert got == {
+        1: (en.SAME_NAME, "45023522"), 2: (en.OTHER_NAME, "45023522"), 3: (en.SAME_NAME, "45023522"), 4: (en.OTHER_NAME, "45023522"), 5: (en.SAME_NAME, "25400339"), 6: (en.BAD_ID, None), 7: (en.NO_SUCH_ID, None),
+        8: (en.UNIQUE, "27502988"), 9: (en.SEVERAL, None), 10: (en.PERSON, None), 11: (en.NOT_FOUND, None), 12: (en.NOT_FOUND, None), 13: (en.NOT_FOUND, None),
+    }
+    empty = spark.createDataFrame([], "id int, ico string, name string, person boolean")
+    assert en.match(empty, register).collect() == []
+
+
+def test_cross_check_of_texts(spark):
+    from ledgerlake.functions import crosscheck as cc
+    from ledgerlake.functions.amounts import value_in_text
+
+    for text, value, want in [
+        ("Tabulka: 99 000,00 celkem", 99000, True), ("155.000, - za dílo", 155000, True), ("Cena 70 325.00 Kč", 70325, True), ("1 122 106,70", 1122107, True), ("122 106,70", 1122107, False),
+        ("5 99 000", 99000, True), ("1.99 000", 99000, False), ("99 0001", 99000, False), ("999", 999, False), (None, 5000, False), ("x 5000", None, False), ("5 000,10 a 5 000,90", 5001, True), ("5 000,10", 5002, False),
+    ]:
+        assert one(spark, value_in_text(F.lit(text).cast("string"), F.lit(value).cast("decimal(18,2)")), t="") is want, (text, value)
+    found = one(spark, ct.amounts(F.col("t")), t="Kupní cena 500 Kč200,- x a 300 Kč, 400,-")
+    assert [int(a.value) for a in found] == [500, 300, 400]  # a number glued to what stands before is none
+    got = one(spark, cc.days(F.col("t")), t="V Praze dne 3. 9. 2026, ode dne 4.9.2026, Digitálně podepsal Jan Datum: 2026.09.24 10:23, 31. 2. 2026, 5. ÚNORA 2026 a 6. zari 1989")
+    assert sorted((str(x.day), x.signed) for x in got) == [("2026-02-05", False), ("2026-09-03", True), ("2026-09-04", False), ("2026-09-24", True)]
+    assert one(spark, cc.days(F.lit(None).cast("string")), t="") in (None, [])
+    for text, want in [("IČO 002 55 513", True), ("ič0100255513", True), ("IČ: 255513", True), ("IČ: 25551", False), ("100255513", False)]:
+        assert one(spark, cc.holds_id(F.col("t"), F.lit("00255513")), t=text) is want, text
+    assert one(spark, cc.other_ids(F.col("t"), F.array(F.lit("00255513"), F.lit(None))), t="IČO: 00255513, IČ 450 23 522, IČO 45023522, IČ 12345678") == ["45023522"]
+    values = F.array(*[F.lit(x).cast("decimal(18,2)") for x in (1, 10, 100, 100)])
+    assert sorted(map(int, spark.range(1).select(cc.sums(values)).first()[0])) == [11, 101, 110, 111]
+
+
+def test_values_of_a_key_forty_levels_down(spark):
+    deep = '{"x":' * 40 + '{"k":[1,[2,{"k":null}]]}' + "}" * 40
+    df = spark.createDataFrame([(1, deep), (2, '{"k":{"k":"a","l":"b"}}'), (3, "[]"), (4, "no"), (5, None)], "id int, payload string")
+    got = [(r.id, r.value) for r in files.values_of_key(df, "id", "payload", "k").orderBy("id", "place").collect()]
+    assert got == [(1, "1"), (1, "2"), (1, None), (2, "a")]
+
+
+def test_a_batch_reads_its_own_days_only(spark, tmp_path):
+    from ledgerlake.streaming.landing import landed_beside
+
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = "id long, day date"
+    rows = lambda xs: spark.createDataFrame([(i, None if d is None else D(2026, 1, d)) for i, d in xs], schema)
+    stream = lambda: land_stream(spark, spark.readStream.schema(schema).parquet(source), target, check, ["id"], "day")
+    rows([(i, i % 28 + 1) for i in range(280)] + [(900, None)]).coalesce(1).write.parquet(source)
+    stream().awaitTermination(120)
+    late = rows([(5, 6), (5, 6), (901, 6), (900, None), (902, None)])
+    files_read = landed_beside(late, target, "day").select(F.input_file_name().alias("f")).distinct().count()
+    everything = spark.read.parquet(target).select(F.input_file_name().alias("f")).distinct().count()
+    assert everything >= 29 and files_read <= 2 * everything / 29 + 1
+    late.write.mode("append").parquet(source)
+    stream().awaitTermination(120)
+    stream().awaitTermination(120)
+    got = sorted((r.id, r.day) for r in spark.read.parquet(target).where("id >= 900 or id = 5").collect() if r.day) + sorted(r.id for r in spark.read.parquet(target).where("day is null").collect())
+    assert got == [(5, D(2026, 1, 6)), (901, D(2026, 1, 6)), 900, 902]
+
+
+def test_work_goes_on_where_it_stopped(spark, tmp_path):
+    from ledgerlake.streaming.landing import work_off, work_states
+
+    log = str(tmp_path / "log")
+    items = spark.createDataFrame([(str(i),) for i in range(40)], "item string")
+    tried = []
+
+    def do(part):
+        tried.append(sorted(r.item for r in part.collect()))
+        if len(tried) == 4:
+            raise RuntimeError("stopped")
+        return part.select("item", F.timestamp_seconds(F.unix_timestamp() - 1000).alias("at"), (F.col("item") % 10 != 3).alias("ok"))
+
+    with pytest.raises(RuntimeError):
+        work_off(items, log, do)
+    done = {i for part in tried[:3] for i in part}
+    tried.clear()
+    tried.append([])
+    work_off(items, log, lambda part: do(part) if len(tried) != 3 else (tried.append(sorted(r.item for r in part.collect())) or part.select("item", F.timestamp_seconds(F.unix_timestamp() - 1000).alias("at"), (F.col("item") % 10 != 3).alias("ok"))))
+    again = {i for part in tried for i in part}
+    assert again == {str(i) for i in range(40)} - {i for i in done if int(i) % 10 != 3}  # failures whose wait is over are tried again
+    states = {r.item: r.state for r in work_states(items, spark.read.parquet(log)).collect()}
+    assert {s for i, s in states.items() if int(i) % 10 == 3} == {"failed"} and {s for i, s in states.items() if int(i) % 10 != 3} == {"done"}
