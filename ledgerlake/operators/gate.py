@@ -53,6 +53,20 @@ def text_rules(column: str) -> dict[str, Column]:
     return {"EVALUATIVE_WORDS": F.size(evaluative(F.col(column))) > 0}
 
 
+#: Kinds of outputs that carry a date as of which they hold.
+DATED = ("indikator", "souhrn", "castka")
+UNKNOWN_OUTPUT = "NEZNAMY_VYSTUP"
+
+
+def dispatched(kind: Column, rules: dict[str, dict[str, Column]], of_all: dict[str, Column], of_dated: dict[str, Column]) -> Column:
+    """Codes that an output breaks by its kind: its own rules, those of dated kinds, those of all; an unknown kind breaks one."""
+    found = F.array(F.lit(UNKNOWN_OUTPUT))
+    for name, own in rules.items():
+        all_of = F.concat(codes(own), codes(of_all), codes(of_dated if name in DATED else {}).cast("array<string>"))
+        found = F.when(kind == name, all_of).otherwise(found)
+    return found
+
+
 def violations(df: DataFrame, rules: dict[str, Column], keys: list[str]) -> DataFrame:
     """One row for each broken rule."""
     return df.select(*keys, F.explode(codes(rules)).alias("code"))
