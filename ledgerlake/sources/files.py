@@ -54,7 +54,9 @@ def values_of_key(df: DataFrame, id_column: str, json: str, key: str) -> DataFra
 
     One recursive query opens all trees a level at a time, of any depth; every level reads what the one above
     found and opens nothing again.  A list's members keep the key of the list; texts that aren't JSON give nothing.
+    Spark stops recursive queries at a million rows by default; that limit is lifted in the session.
     """
+    df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     rows = df.select(F.col(id_column).alias("id"), F.try_parse_json(json).alias("node")).where("node is not null")
     found = df.sparkSession.sql(
         """
