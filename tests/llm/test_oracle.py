@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "labels", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     want = con.execute(queries.ORACLE_SQL[name])
     names = [d[0] for d in want.description]
