@@ -55,3 +55,12 @@ def amount_agreement(price: Column, net: Column, gross: Column, tolerance: float
     variants = [net, *[gross / (1 + r) for r in rates]]
     scores = [F.when(v != 0, F.greatest(F.lit(0.0), 1 - F.abs(v - price) / price / tolerance)) for v in variants]
     return F.when(price > 0, F.coalesce(F.greatest(*scores), F.lit(0.0))).otherwise(F.lit(0.0))
+
+
+def amount_variant(price: Column, net: Column, gross: Column, tolerance: float = 0.10, rates: tuple = (0.21, 0.12)) -> Column:
+    """H21, second form: struct(score, compared): the best agreement and which amount gave it, the first named of equals; null where none agrees."""
+    one = lambda v, how: F.struct(F.when(v != 0, F.greatest(F.lit(0.0), 1 - F.abs(v - price) / price / tolerance)).cast("double").alias("score"), F.lit(how).alias("compared"))
+    price, net, gross = price.cast("double"), net.cast("double"), gross.cast("double")
+    variants = F.array(one(net, "bez_dph"), *[one(gross / (1 + r), f"s_dph/{1 + r:.2f}") for r in rates])
+    none = F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("compared"))
+    return F.when(price > 0, F.aggregate(variants, none, lambda best, v: F.when(v["score"] > best["score"], v).otherwise(best))).otherwise(none)
