@@ -3,14 +3,17 @@
 *Base.*  Four kinds by fixed patterns and checks: e-mail, address, card, phone.
 
 *Method.*  Around words that could be data (a digit or ``@``) a text has regions
-of words, however many follow one another.  Candidate segments are runs of up to ``MAX_WORDS`` whole words;
-features describe the whole span (digits, parts, checks, shape, length, the word
-before).  A semi-Markov CRF scores every segmentation of a region; a Viterbi
+of words, however many follow one another.  Candidate segments are runs of whole
+words, of each kind up to ``SPAN_WORDS``; words end at spaces, quotes, colons and
+``=``.  Features describe the whole span (digits, parts, checks, shape, length,
+kinds of characters, what the words before it announce).  A semi-Markov CRF scores every segmentation of a region; a Viterbi
 search over bounded segments chooses boundaries and kinds together.  It is
 trained by likelihood (forward and backward sums over segmentations) on regions
 of a bounded sample (of a region its first ``TRAIN_WORDS`` words, up to
 ``TRAIN_LENGTH`` characters; the search has no such bounds), whose silver labels are the base patterns and long
-hexadecimal strings after a cue (kind ``secret``).  Its spans are added where
+hexadecimal strings after a cue (kind ``secret``), and on a fixed number of generated
+texts whose labels no pattern gives: secrets, phones and account numbers in other
+formats, and digests, ids and numbers that are none.  Its spans are added where
 they touch no base span; base spans always stay.
 
 All places are code points of the whole text.  Null texts have no spans; repeated
@@ -29,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import generated_spans
 from .textblocks import blocks
 
-KINDS = ["email", "ip", "card", "phone", "secret"]
-MAX_WORDS = 4
+KINDS = ["email", "ip", "card", "phone", "secret", "iban"]
+#: Words of a span at most, by kind (an account number of 34 characters in groups of four has nine).
+SPAN_WORDS = {"email": 1, "ip": 1, "card": 5, "phone": 5, "secret": 1, "iban": 9}
+MAX_WORDS = max(SPAN_WORDS.values())
 #: Regions the model is fitted on, and documents they come from, at most (about).
 TRAIN_REGIONS, TRAIN_DOCS = 400, 3000
 #: Words and characters of a region that the model is fitted on.
@@ -44,10 +50,20 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _PARTS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\s]+")
+_WORD = re.compile(r"[^\s=:\"'<>]+")
 _MAYBE = re.compile(r"[0-9@]")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CUE = {"token", "key", "secret", "password", "=", ":"}
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
+_IBAN_START = re.compile(r"[A-Z]{2}[0-9]{2}")
+_BEFORE = re.compile(r"[^\W\d_]+")
+#: Words that announce a kind of value, and how far before a span they are looked for.
+_CUES = {
+    **dict.fromkeys("token key apikey secret password passwd pwd auth bearer credential credentials passphrase kennwort passwort contraseña".split(), "secret"),
+    **dict.fromkeys("commit sha md digest hash checksum revision rev blob tree object etag uuid build checkout".split(), "hash"),
+    **dict.fromkeys("tel phone call mobile fax telefon telefono teléfono téléphone whatsapp ring handy".split(), "phone"),
+    **dict.fromkeys("iban account konto bank cuenta compte transfer".split(), "account"),
+}
+CUE_REACH = 40
 _EDGE = ".,;:!?\"'()[]#$%&*|"
 
 
@@ -124,6 +140,18 @@ def regions(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def cues(text: str, a: int) -> tuple[str, str]:
+    """What the word before place ``a`` announces, and the nearest announcement among the three words before."""
+    last = [_CUES.get(w, "") for w in _BEFORE.findall(text[max(0, a - CUE_REACH) : a].lower())[-3:]][::-1]
+    return (last[0] if last else ""), next(filter(None, last), "")
+
+
+def account_ok(s: str) -> bool:
+    """An account number of international form whose remainder modulo 97 is 1."""
+    code = s.replace(" ", "")
+    return bool(_IBAN.fullmatch(code)) and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+
+
 def span_features(text: str, words: list[tuple[int, int]], i: int, j: int) -> list[str]:
     """Features of the segment of words i..j-1 as a whole."""
     a, z = words[i][0], words[j - 1][1]
@@ -131,10 +159,14 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, j: int) -> li
     d = _digits(s)
     letters = sum(c.isalpha() for c in s)
     parts = s.split(".")
-    before = text[words[i - 1][0] : words[i - 1][1]].lower() if i else ""
+    near, far = cues(text, a)
+    upper, lower = any(c.isupper() for c in s), any(c.islower() for c in s)
+    mix = f"{'U' * upper}{'l' * lower}{'9' * bool(d)}{'p' * any(not c.isalnum() for c in s)}"
+    is_hex = bool(_HEX.fullmatch(s.lower()))
+    size = min(len(d), 20)
     return [
         f"words={j - i}",
-        f"digits={min(len(d), 20)}",
+        f"digits={size}",
         f"share={10 * len(d) // max(1, len(s))}",
         f"letters={min(letters, 3)}",
         f"at={s.count('@') == 1 and '.' in s.split('@')[-1]}",
@@ -142,8 +174,17 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, j: int) -> li
         f"luhn={13 <= len(d) <= 19 and letters == 0 and luhn(d)}",
         f"plus={s[0] == '+'}",
         f"phone={s[0] == '+' and 9 <= len(d) <= 15 and letters == 0}",
-        f"hex={bool(_HEX.fullmatch(s.lower()))}",
-        f"cue={before in _CUE}",
+        f"hex={is_hex}",
+        f"iban={account_ok(s)}",
+        f"known={s.startswith(('AKIA', 'ghp_', 'sk-', 'xox')) and len(s) >= 16}",
+        f"mix={mix}",
+        f"size={min(len(s) // 4, 10)}",
+        f"near={near}",
+        f"far={far}",
+        f"near,mix={near},{mix}",
+        f"far,hex={far},{is_hex}",
+        f"far,mix={far},{mix}",
+        f"far,digits={far},{size if letters == 0 else -1}",
         f"shape={re.sub('[0-9]+', '9', re.sub('[^0-9@.+()-]+', 'x', s))[:12]}",
     ]
 
@@ -160,11 +201,11 @@ class SemiCrf:
         for i in range(j - 1, max(-1, j - 1 - MAX_WORDS), -1):
             if i < j - 1 and words[i + 1][0] - words[i][1] > 2:
                 break
-            f = span_features(text, words, i, j)
-            own = [(i, None, f)] if i == j - 1 else []
+            own = [None] if i == j - 1 else []
             if _MAYBE.search(text, words[i][0], words[j - 1][1]):
-                own += [(i, kind, f) for kind in KINDS]
-            out.append(own)
+                own += [k for k in KINDS if j - i <= SPAN_WORDS[k] and (k != "iban" or _IBAN_START.match(text, words[i][0]))]
+            f = span_features(text, words, i, j) if own else []
+            out.append([(i, kind, f) for kind in own])
         return [x for own in reversed(out) for x in own]
 
     def segments(self, text: str, words: list[tuple[int, int]]) -> list[list[tuple]]:
@@ -229,8 +270,9 @@ def silver(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-def training_regions(text: str) -> list[tuple[str, list, list]]:
-    spans = {(a, z): k for k, a, z in silver(text)}
+def training_regions(text: str, labels: list[tuple[str, int, int]] | None = None) -> list[tuple[str, list, list]]:
+    """(text, words, (kind, first, end)) of the regions of a text, with silver labels where none are given."""
+    spans = {(a, z): k for k, a, z in (silver(text) if labels is None else labels)}
     out = []
     for words in regions(text):
         gold = []
@@ -239,7 +281,7 @@ def training_regions(text: str) -> list[tuple[str, list, list]]:
                 if kind := spans.get((words[i][0], words[j - 1][1])):
                     gold.append((kind, i, j))
         words = words[:TRAIN_WORDS]
-        lo, hi = words[0][0], words[-1][1]
+        lo, hi = max(0, words[0][0] - CUE_REACH), words[-1][1]
         out.append((text[lo:hi], [(a - lo, z - lo) for a, z in words], [g for g in gold if g[2] <= len(words)]))
     return out
 
@@ -261,6 +303,7 @@ def fit(docs: DataFrame) -> SemiCrf:
     rows += found.where("size(kinds) = 0").orderBy(F.xxhash64("text")).limit(TRAIN_REGIONS // 4).collect()
     pairs = lambda x: list(zip(x[::2], x[1::2]))
     data = [(r.text, pairs(r.words), [(k, i, j) for k, (i, j) in zip(r.kinds, pairs(r.ends))]) for r in rows]
+    data += [r for text, labels in generated_spans.examples() for r in training_regions(text, labels)]
     order = sorted(range(len(data)), key=lambda k: hashlib.sha256(data[k][0].encode()).digest())
     return SemiCrf().fit([data[k] for k in order])
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from ledgerlake.llm import generated_spans
 from ledgerlake.llm import personal_data as pd7
 
 
@@ -85,3 +86,41 @@ def test_edges(spark, docs_of):
     got = pd7.search(df, model).collect()
     assert len(got) == 42 and next(r for r in got if r.doc_id is None).n_ip == 1
     assert pd7.search(docs_of([]), pd7.fit(docs_of([]))).collect() == []
+
+
+def _unseen(seed):
+    """Texts with other templates and another seed than the model is fitted on."""
+    rng = random.Random(seed)
+    positive = {
+        "secret": (["set ACCESS_TOKEN={} first", "login bob, pwd: {}", "your new passphrase: {}", "x-auth-token: {}", "Passwort: {}"], generated_spans.secret),
+        "phone": (["please ring {} today", "WhatsApp: {}", "our fax is {}", "Tel: {}"], generated_spans.phone),
+        "iban": (["Bitte auf {} zahlen", "my bank details: {}", "send it to {} please"], generated_spans.iban),
+    }
+    negative = [(["git checkout {}", "blob {} is gone", "merge of {} is done", "etag: {}"], generated_spans.digest), (["serial {}", "room {} upstairs", "we sold {} pieces", "article {}"], generated_spans.number)]
+    for _ in range(150):
+        for kind, (templates, make) in positive.items():
+            before, after = rng.choice(templates).split("{}")
+            value = make(rng)
+            yield before + value + after, (kind, len(before), len(before) + len(value))
+        for templates, make in negative:
+            yield rng.choice(templates).replace("{}", make(rng)), None
+
+
+def test_recall_and_precision_by_kind_on_unseen_templates(spark):
+    model = pd7.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    hit, wanted, given = ({k: 0 for k in pd7.KINDS} for _ in range(3))
+    for text, span in _unseen(99):
+        found = pd7.find(text, model)[1]
+        for k, *_ in found:
+            given[k] += 1
+        if span:
+            wanted[span[0]] += 1
+            hit[span[0]] += span in found
+    print("hit", hit, "wanted", wanted, "given", given)
+    for k in ("secret", "phone", "iban"):
+        assert hit[k] >= 0.9 * wanted[k] and hit[k] >= 0.9 * given[k], k
+    spans = lambda t: pd7.find(t, model)[1]
+    assert spans("commit 0123456789abcdef0123456789abcdef01234567 merged") == []
+    assert spans("api_key=0123456789abcdef0123456789abcdef") == [("secret", 8, 40)]
+    assert spans("password: hunter2!Xy9") == [("secret", 10, 21)]
+    assert spans("IBAN DE89 3704 0044 0532 0130 00")[0][:2] == ("iban", 5)
