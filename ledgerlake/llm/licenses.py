@@ -2,13 +2,15 @@
 
 *Base.*  Places where the words of a fixed phrase stand consecutively.
 
-*Method.*  Licence templates are indexed by word with positions.  A word's rarity
-is its inverse document frequency over all documents scanned.  A file is looked up
-for the templates of which it holds a mandatory key phrase: the ``LOOKUPS`` rarest
-words that it holds of each are intersected by relative position (a template counts
-the different looked-up words that agree on one offset, give or take ``SLACK``), and
-if fewer than ``AGREE`` agree, all its words are.  A template with ``AGREE`` or more
-is accepted.  Its score is the share of its words found at their place.
+*Method.*  Licence templates are indexed by word with positions.  A template
+stands at an offset of a file if at least ``AGREE_SHARE`` of its different words (and ``AGREE``
+of them, if it has as many) stand at their place there, give or take ``SLACK`` words, and one of its
+mandatory key phrases stands within.  A word's rarity is its inverse document
+frequency over all documents scanned.  Only the rarest words are looked up: of D words of which
+``need`` must agree, any D - need + 2 hold two that do, so the postings of the D - need + 2
+rarest are intersected by relative position, and where two agree all words are
+compared, and last the key phrases.  Rarity thus decides what is compared, never what is found.
+The score is the largest share of a template's words found at their place.
 
 Words are letters, digits and bytes beyond ASCII, A-Z lower-cased.  Null texts
 have no words; the score is 0 without places and labels, at least 1/2 with a base
@@ -17,7 +19,6 @@ place; repeated rows are scanned each; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textblocks import LOWER, NOT_ALNUM, U64, Block, blocks, hash_word, split_points, word_bounds, word_hashes
+from .textblocks import LOWER, NOT_ALNUM, U64, Block, blocks, hash_word, word_bounds, word_hashes
 
-LOOKUPS, AGREE, SLACK = 8, 3, 2
+AGREE, AGREE_SHARE, SLACK = 3, 0.5, 2
+#: Looked-up words that agree on an offset before all words are compared, and offsets compared at once.
+MEET, AT_ONCE = 2, 1 << 15
 BASE_SCORE = 0.5
 
 #: Base phrases and their labels.
@@ -67,32 +70,19 @@ class LicenseIndex:
         self.keys = [[_hashes(k) for k in keys] for _, _, keys in TEMPLATES]
         self.base = [(_hashes(p), label) for p, label in BASE.items()]
         self.vocab = np.unique(np.concatenate(self.words))
-        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, words in enumerate(self.words):
-            for p, k in enumerate(np.searchsorted(self.vocab, words)):
-                self.postings[int(k)].append((t, p))
+        #: of each template its different words (numbers in the vocabulary), and of each of its places the number among these
+        self.own, self.nth = zip(*[np.unique(np.searchsorted(self.vocab, w), return_inverse=True) for w in self.words])
+        self.need = [min(len(o), max(AGREE, int(np.ceil(AGREE_SHARE * len(o))))) for o in self.own]
         self.idf = np.ones(len(self.vocab))
 
     def with_rarity(self, df: dict[int, int], n: int) -> LicenseIndex:
         self.idf = np.array([np.log((n + 1) / (df.get(int(np.int64(h)), 0) + 1)) for h in self.vocab.view(np.int64)])
         return self
 
-    def rarest(self, t: int) -> list[int]:
-        """The different words of a template, rarest first."""
-        own = np.unique(np.searchsorted(self.vocab, self.words[t]))
-        return own[np.argsort(-self.idf[own], kind="stable")].tolist()
-
-    def agreed(self, t: int, looked_up: list[int], places: dict[int, np.ndarray]) -> tuple[int, int] | None:
-        """(different words, offset) of the first offset on which most words agree; None if too few do."""
-        got = []
-        for k in looked_up:
-            spots = np.concatenate([places[k] - q for u, q in self.postings[k] if u == t])
-            # a word that fits an offset twice gives no more evidence
-            got.append(np.unique((spots[:, None] + np.arange(-SLACK, SLACK + 1)).ravel()))
-        offsets, seen = np.unique(np.concatenate(got or [np.zeros(0, np.int64)]), return_counts=True)
-        if not len(seen) or seen.max() < min(AGREE, len(set(self.words[t].tolist()))):
-            return None
-        return int(seen.max()), int(offsets[np.argmax(seen)])
+    def looked_up(self, t: int) -> np.ndarray:
+        """The rarest words of a template, as places among its different words: so many that ``MEET`` of them agree wherever it stands."""
+        k = len(self.own[t]) - self.need[t] + min(MEET, self.need[t])
+        return np.argsort(-self.idf[self.own[t]], kind="stable")[:k]
 
 
 def _words(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,6 +104,52 @@ def _places(words: np.ndarray, doc: np.ndarray, phrase: np.ndarray) -> np.ndarra
     return at[doc[at] == doc[at + k - 1]]
 
 
+def _standing(words: np.ndarray, doc: np.ndarray, f: np.ndarray, place: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which wanted words stand at which places of files ``f``; places outside a file hold nothing."""
+    inside = np.clip(place, 0, max(0, len(words) - 1))
+    return (words[inside] == wanted) & (doc[inside] == f) & (inside == place)
+
+
+def candidates(index: LicenseIndex, t: int, doc: np.ndarray, hits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(file, offset) where ``MEET`` looked-up words of a template agree; offsets are word numbers of the block, before a file's first word too."""
+    reach = len(index.words[t]) + SLACK
+    span = len(doc) + 2 * reach
+    keys = []
+    for k in index.looked_up(t):
+        spots = hits[index.own[t][k]]
+        of = np.concatenate([doc[spots] * span + spots - q + reach for q in np.flatnonzero(index.nth[t] == k)])
+        # a word that fits an offset twice gives no more evidence
+        keys.append(np.unique((of[:, None] + np.arange(-SLACK, SLACK + 1)).ravel()))
+    key, seen = np.unique(np.concatenate(keys), return_counts=True)
+    key = key[seen >= min(MEET, index.need[t])]
+    return key // span, key % span - reach
+
+
+def matches(index: LicenseIndex, t: int, words: np.ndarray, doc: np.ndarray, hits: list[np.ndarray]) -> dict[int, float]:
+    """Files that hold template t -> the largest share of its words at their place."""
+    files, offsets = candidates(index, t, doc, hits)
+    best: dict[int, float] = {}
+    size = len(index.words[t])
+    for i in range(0, len(files), AT_ONCE):
+        f, o = files[i : i + AT_ONCE], offsets[i : i + AT_ONCE]
+        found = np.zeros((len(f), size), bool)
+        for q, h in enumerate(index.words[t]):
+            for s in range(-SLACK, SLACK + 1):
+                found[:, q] |= _standing(words, doc, f, o + q + s, h)
+        different = np.zeros((len(f), len(index.own[t])), bool)
+        for q, k in enumerate(index.nth[t]):
+            different[:, k] |= found[:, q]
+        good = different.sum(1) >= index.need[t]
+        f, o, share = f[good], o[good], found[good].mean(1)
+        phrase = np.zeros(len(f), bool)
+        for key in index.keys[t]:
+            for start in range(-SLACK, size - len(key) + SLACK + 1):
+                phrase |= np.logical_and.reduce([_standing(words, doc, f, o + start + j, h) for j, h in enumerate(key)])
+        for n, x in zip(f[phrase].tolist(), share[phrase].tolist()):
+            best[n] = max(best.get(n, 0.0), x)
+    return best
+
+
 def _frequencies(index: LicenseIndex):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(len(index.vocab) + 1, np.int64)
@@ -147,35 +183,16 @@ def scan_block(index: LicenseIndex, b: Block) -> dict[str, list]:
             high[d] = max(high[d], at)
             base_labels[d].add(label)
             score[d] = max(score[d], BASE_SCORE)
-    # a template needs one of its key phrases: only files that hold one are looked up, and only for its templates
     at = np.searchsorted(index.vocab, words)
     at[at == len(index.vocab)] = 0
     hit = np.flatnonzero(index.vocab[at] == words)
-    wanted: dict[int, list[int]] = defaultdict(list)
-    for t, keys in enumerate(index.keys):
-        for f in np.unique(doc[np.concatenate([_places(words, doc, key) for key in keys])]).tolist():
-            wanted[f].append(t)
-    for f, templates in wanted.items():
-        lo, hi = np.searchsorted(hit, [first[f], first[f] + n[f]])
-        own = hit[lo:hi]
-        order = np.argsort(at[own], kind="stable")
-        own, kinds = own[order], at[own][order]
-        cuts = split_points(kinds)
-        places = {int(kinds[i]): own[i:j] for i, j in zip(cuts[:-1], cuts[1:])}
-        best: dict[int, tuple[int, int]] = {}
-        for t in templates:
-            held = [k for k in index.rarest(t) if k in places]
-            # the rarest words of the template in this file; where they don't agree, all
-            offset = index.agreed(t, held[:LOOKUPS], places) or index.agreed(t, held, places)
-            if offset:
-                best[t] = offset
-        for t, (_, offset) in best.items():
+    order = np.argsort(at[hit], kind="stable")
+    cuts = np.searchsorted(at[hit][order], np.arange(len(index.vocab) + 1))
+    hits = [hit[order[i:j]] for i, j in zip(cuts[:-1], cuts[1:])]
+    for t in range(len(index.words)):
+        for f, share in matches(index, t, words, doc, hits).items():
             labels[f].add(index.labels[t])
-            found = 0
-            for q, h in enumerate(index.words[t]):
-                here = np.arange(max(first[f], offset + q - SLACK), min(first[f] + n[f], offset + q + SLACK + 1))
-                found += bool((words[here] == h).any()) if len(here) else 0
-            score[f] = max(score[f], found / len(index.words[t]))
+            score[f] = max(score[f], share)
     none = lambda x: [None if v < 0 else int(v) for v in x]
     return {
         "n_words": n.tolist(),

@@ -1,6 +1,10 @@
+import math
 import random
 import re
 
+import numpy as np
+
+from ledgerlake.llm import licenses
 from ledgerlake.llm.licenses import BASE, TEMPLATES, scan
 
 
@@ -50,3 +54,78 @@ def test_every_licence_of_a_file_with_several_and_of_a_long_one(spark, docs_of):
     for k, (label, _, _) in enumerate(TEMPLATES):
         assert label in by[10 + k], label
     assert by[100] == by[200] == {""}
+
+
+def exhaustive(text):
+    """Labels and score with every template tried at every offset, as the docstring states them."""
+    w, labels, score = words(text), set(), 0.0
+    for label, template, keys in TEMPLATES:
+        t = template.split()
+        need = min(len(set(t)), max(licenses.AGREE, math.ceil(licenses.AGREE_SHARE * len(set(t)))))
+        near = lambda at: w[max(0, at - licenses.SLACK) : max(0, at + licenses.SLACK + 1)]
+        for o in range(-len(t) - licenses.SLACK, len(w) + licenses.SLACK):
+            found = [x in near(o + q) for q, x in enumerate(t)]
+            if len({x for x, y in zip(t, found) if y}) < need:
+                continue
+            starts = range(max(0, o - licenses.SLACK), o + len(t) + licenses.SLACK)
+            if any(w[p : p + len(k.split())] == k.split() and p + len(k.split()) <= o + len(t) + licenses.SLACK for k in keys for p in starts):
+                labels.add(label)
+                score = max(score, sum(found) / len(t))
+    base_labels = set(filter(None, base(text)[4].split(",")))
+    return ",".join(sorted(labels | base_labels)), max(score, 0.5 if base_labels else 0.0)
+
+
+def mixed(rng):
+    """Fragments of templates with words lost, added or moved, key phrases alone, and shuffled licence words."""
+    parts = []
+    for _ in range(rng.randrange(1, 5)):
+        _, template, keys = rng.choice(TEMPLATES)
+        t = template.split()
+        kind = rng.randrange(5)
+        if kind == 0:
+            parts += t
+        elif kind == 1:
+            a = rng.randrange(len(t))
+            parts += t[a : a + rng.randrange(1, len(t) + 1)]
+        elif kind == 2:
+            parts += [x for x in t if rng.random() < 0.7]
+        elif kind == 3:
+            parts += rng.choice(keys).split()
+        else:
+            parts += rng.sample(t, len(t)) + rng.choice(keys).split()
+        parts += [f"w{rng.randrange(9)}" for _ in range(rng.randrange(4))]
+    return " ".join(parts)
+
+
+def test_labels_and_score_match_an_exhaustive_search(spark, docs_of):
+    rng = random.Random(21)
+    rows = [(i, mixed(rng)) for i in range(400)] + [(1000, None), (1001, "reserved"), (1002, "all rights reserved " * 50), (1003, "mit license the released under")]
+    got = {r.doc_id: (r.labels, r.score) for r in scan(docs_of(rows)).collect()}
+    for i, text in rows:
+        labels, score = exhaustive(text)
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-9, (text, got[i], labels, score)
+
+
+def test_rarity_decides_what_is_compared_not_what_is_found():
+    rng = random.Random(22)
+    hash_of = lambda text: licenses._hashes(" ".join(words(text)))
+    index = licenses.LicenseIndex()
+    for _ in range(20):
+        texts = [mixed(rng) for _ in range(10)]
+        own = [hash_of(x) for x in texts]
+        flat, doc = np.concatenate(own), np.repeat(np.arange(10), [len(x) for x in own])
+        hits = [np.flatnonzero(flat == h) for h in index.vocab]
+        results = []
+        for _ in range(3):
+            index.idf = np.array([rng.random() for _ in index.vocab])
+            results.append([licenses.matches(index, t, flat, doc, hits) for t in range(len(TEMPLATES))])
+        assert results[0] == results[1] == results[2]
+
+
+def test_a_bare_key_phrase_among_shuffled_words_gives_no_label(spark, docs_of):
+    gpl = next(t for label, t, _ in TEMPLATES if label == "lgpl").split()
+    rng = random.Random(23)
+    rows = [(i, " ".join([*rng.sample(gpl, len(gpl)), "x y z lesser general public license x y z", *rng.sample(gpl, len(gpl))])) for i in range(20)]
+    assert {r.labels for r in scan(docs_of(rows)).collect()} == {"gpl"}  # its base phrase; no template stands there
+    bsd = "foo redistribution and use in source and binary forms bar"
+    assert [r.labels for r in scan(docs_of([(1, bsd)])).collect()] == [exhaustive(bsd)[0]]
