@@ -93,3 +93,18 @@ def first_rows(df: DataFrame, group: list[str], order: list[str], n: int) -> Dat
 def hash_sample(df: DataFrame, key: str, purpose: str, n: int, seed: str = "seed") -> DataFrame:
     """A reproducible sample; a larger n keeps the smaller sample as its first rows."""
     return df.orderBy(F.sha2(F.concat_ws(":", F.lit(seed), F.lit(purpose), F.col(key).cast("string")), 256), key).limit(n)
+
+
+def accepted_sample(frame: DataFrame, order: list[str | Column], reject: Column, n: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` rows of the order that no reason rejects, and (reason, n) of what was drawn until then, null for accepted ones.
+
+    The order must be total.  The place of the last accepted row is found by a
+    top-n, so the frame is never sorted as a whole; with fewer than ``n`` good
+    rows everything is drawn.
+    """
+    place = F.struct(*order)
+    rows = frame.withColumns({"__place": place, "reason": reject})
+    good = rows.where("reason is null").orderBy("__place").limit(n)
+    last = good.agg(F.when(F.count("*") == n, F.max("__place")).alias("__last"))
+    drawn = rows.crossJoin(F.broadcast(last)).where(F.col("__last").isNull() | (F.col("__place") <= F.col("__last")))
+    return good.drop("__place", "reason"), drawn.groupBy("reason").agg(F.count("*").alias("n"))

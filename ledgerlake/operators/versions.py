@@ -63,6 +63,20 @@ def end_entities(versions: DataFrame, ended: DataFrame, now: Column, keys: list[
     return marked.withColumn("recorded_to", F.when(stop, now).otherwise(F.col("recorded_to"))).drop("__end")
 
 
+def end_with_log(versions: DataFrame, ended: DataFrame, now: Column, keys: list[str], run: Column) -> tuple[DataFrame, DataFrame]:
+    """The versions after the ends, and the log of ends: (keys, n_closed, reason, replaced_by, run, ended_at).
+
+    ``ended`` has the keys, ``reason`` and ``replaced_by`` (array, null for none).
+    Only entities that have a current version are logged; an end without a reason
+    or an entity that comes twice is an error.
+    """
+    once = ended.groupBy(*keys).agg(F.count("*").alias("__n"), F.first("reason").alias("reason"), F.first("replaced_by").alias("replaced_by"))
+    fault = F.when(F.col("__n") > 1, F.raise_error(F.lit("an entity is ended twice in one batch"))).when(F.coalesce("reason", F.lit("")) == "", F.raise_error(F.lit("an end needs a reason")))
+    once = once.select(*keys, F.coalesce(fault.cast("string"), "reason").alias("reason"), F.coalesce("replaced_by", F.array().cast(ended.schema["replaced_by"].dataType)).alias("replaced_by"))
+    closed = versions.where(is_current()).groupBy(*keys).agg(F.count("*").alias("n_closed"))
+    return end_entities(versions, once.where("reason is not null"), now, keys), once.join(closed, keys).select(*keys, "n_closed", "reason", "replaced_by", run.alias("run"), now.alias("ended_at"))
+
+
 def correct(versions: DataFrame, given: DataFrame, now: Column, keys: list[str]) -> DataFrame:
     """The current state of the given entities becomes exactly the given versions; entities in that state already stay."""
     body = [c for c in versions.columns if c not in (*keys, "recorded_from", "recorded_to")]

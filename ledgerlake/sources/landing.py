@@ -66,3 +66,19 @@ def published(records: DataFrame, with_samples: bool = False) -> DataFrame:
     """Records without development samples (unless asked for) and without annulled notices."""
     kept = records.where(~F.coalesce("annulled", F.lit(False)))
     return kept if with_samples else kept.where(~F.coalesce("dev_sample", F.lit(False)))
+
+
+#: States of a run.
+SUCCESS, FAILED, SKIPPED, UNFINISHED = "uspech", "chyba", "preskoceno", "nedokonceno"
+
+
+def run_ends(outcomes: DataFrame) -> DataFrame:
+    """Outcomes (run_id, reachable, errors) with ``status``: skipped where the source can't be reached, failed with any error."""
+    errors = F.coalesce(F.size("errors"), F.lit(0))
+    return outcomes.withColumn("status", F.when(~F.coalesce("reachable", F.lit(False)), SKIPPED).when(errors > 0, FAILED).otherwise(SUCCESS))
+
+
+def run_overview(starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """Every run with its end, ``status`` and ``n_errors``; a start without an end is unfinished."""
+    rows = starts.join(ends, "run_id", "left")
+    return rows.withColumns({"status": F.coalesce("status", F.lit(UNFINISHED)), "n_errors": F.coalesce(F.size("errors"), F.lit(0))})
