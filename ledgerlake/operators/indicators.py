@@ -25,6 +25,22 @@ def single_recipient_share(flows: DataFrame, min_cases: int = 5) -> DataFrame:
     return out.where(F.col("cases") >= min_cases).withColumn("share", F.round(F.col("single") / F.col("cases"), 4))
 
 
+def single_bid_share(results: DataFrame) -> DataFrame:
+    """Per buyer and CPV division (two digits, ``??`` without a code) the parts of result notices with a single bid.
+
+    Read: buyer, cpv, kind, day, bids (array of counts as text, one a part); only
+    counts that are known numbers count.  Notices that are no results or name no
+    buyer are left out; groups without a known count give no row.  The period is
+    that of all notices read, results or not, its end the day after the last one.
+    """
+    division = F.coalesce(F.nullif(F.left("cpv", F.lit(2)), F.lit("")), F.lit("??"))
+    period = results.agg(F.min("day").alias("period_from"), F.date_add(F.max("day"), 1).alias("period_to"))
+    bids = results.where("kind = 'result' and buyer is not null").select("buyer", F.concat(F.lit("CPV "), division).alias("peer_group"), F.explode("bids").alias("bid")).withColumn("n", F.col("bid").try_cast("int")).where("n is not null")
+    out = bids.groupBy("buyer", "peer_group").agg(F.count("*").alias("cases"), F.count_if(F.col("n") == 1).alias("single"))
+    # one row: a proven bound
+    return out.withColumn("share", F.bround(F.col("single") / F.col("cases"), 4)).crossJoin(F.broadcast(period))
+
+
 def repeated_recipient(flows: DataFrame, min_cases: int = 2) -> DataFrame:
     """A recipient's distinct flows, first and last day, and the sum over granted amounts alone."""
     granted = F.when(F.col("type") == "R", F.col("amount"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import integrity, versions
+from ledgerlake.operators.indicators import single_bid_share
 from ledgerlake.operators.statistics import accepted_sample
 from ledgerlake.sources import landing
 
@@ -67,3 +68,11 @@ def test_a_sample_counts_what_was_drawn_before_it_was_full(spark):
         assert sorted(r.k for r in good.collect()) == want and {r.reason: r.n for r in drawn.collect()} == counts
     good, drawn = accepted_sample(frame.limit(0), ["k"], F.col("why"), 2)
     assert good.count() == 0 and drawn.count() == 0
+
+
+def test_single_bids_count_known_numbers_of_results(spark):
+    schema = "buyer string, cpv string, kind string, day date, bids array<string>"
+    rows = [("a", "30100000", "result", D(2026, 1, 5), ["1", "2", "n/a", None, "1"]), ("a", "30900000", "result", None, ["1"]), ("a", "", "result", D(2026, 1, 6), ["3"]), ("a", None, "result", D(2026, 1, 7), None), (None, "30", "result", D(2026, 1, 8), ["1"]), ("b", "30", "result", D(2026, 1, 9), ["x"]), ("b", "30", "planning", D(2026, 2, 1), ["1"])]
+    got = sorted(tuple(r) for r in single_bid_share(spark.createDataFrame(rows, schema)).collect())
+    assert got == [("a", "CPV 30", 4, 3, 0.75, D(2026, 1, 5), D(2026, 2, 2)), ("a", "CPV ??", 1, 0, 0.0, D(2026, 1, 5), D(2026, 2, 2))]
+    assert single_bid_share(spark.createDataFrame([], schema)).collect() == []
