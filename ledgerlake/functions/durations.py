@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .amounts import LEAST_PERIODIC, amounts, around, periodic, prices, sentence_before
 from .notices import net_amounts
+from .values import once
 
 # How terms are written, sentences on performance and on other terms, repeated and continuous performance.
 _CONTRACT = r"(?:smlouv\w*|nájem\w*|nájm\w*|pacht\w*|dohod\w*|uzavír\w*|uzavřen\w*|objednáv\w*)"
@@ -50,15 +51,18 @@ def duration(text: Column) -> Column:
         serves = sentence.rlike(_I + PERFORMANCE) & ~sentence.rlike(_I + OTHER_TERM)
         return F.struct(F.when(serves, _days(s["match"])).alias("days"), s["match"].rlike(_I + r"^od\s").alias("dated"), sentence.rlike(_I + CONTINUOUS).alias("continuous"))
 
-    terms = F.filter(F.transform(around(text, [FOR_TERM, FROM_TO], 300, 300), term), lambda t: t["days"].between(1, MOST_DAYS))
-    longest = F.array_max(F.transform(terms, lambda t: t["days"]))
-    # of equally long ones a term in words comes before one of dates
-    worded = F.filter(terms, lambda t: (t["days"] == longest) & ~t["dated"])
-    dated = F.filter(terms, lambda t: (t["days"] == longest) & t["dated"])
-    first = F.get(F.concat(worded, dated), F.lit(0))
     said = F.regexp_extract_all(text, F.lit(f"{_I}({INDEFINITE})"), F.lit(1))
     indefinite = F.when(F.exists(said, lambda m: ~F.lower(m).contains("souhlas")), True).when(text.rlike(_I + DEFINITE), False)
-    return F.struct(indefinite.alias("indefinite"), longest.alias("days"), F.coalesce(first["continuous"], F.lit(False)).alias("continuous"))
+
+    def told(terms: Column, longest: Column) -> Column:
+        # of equally long ones a term in words comes before one of dates
+        worded = F.filter(terms, lambda t: (t["days"] == longest) & ~t["dated"])
+        dated = F.filter(terms, lambda t: (t["days"] == longest) & t["dated"])
+        first = F.get(F.concat(worded, dated), F.lit(0))
+        return F.struct(indefinite.alias("indefinite"), longest.alias("days"), F.coalesce(first["continuous"], F.lit(False)).alias("continuous"))
+
+    terms = F.filter(F.transform(around(text, [FOR_TERM, FROM_TO], 300, 300), term), lambda t: t["days"].between(1, MOST_DAYS))
+    return once(terms, lambda t: once(F.array_max(F.transform(t, lambda x: x["days"])), lambda longest: told(t, longest)))
 
 
 def annual_values(contracts: DataFrame, key: str, text: str, least_days: int = 366) -> DataFrame:

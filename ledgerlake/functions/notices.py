@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import once
+
 #: VAT rates whose amounts are variants of a net amount.
 VARIANT_RATES = [0.21, 0.12]
 #: What a text shows in place of a redacted datum, and file names that tell of it.
@@ -29,8 +31,7 @@ def redacted_name(name: Column) -> Column:
 def net_amounts(amounts: Column) -> Column:
     """A set of amounts without those that are, within 1, another one with VAT or the VAT of another one."""
     derived = lambda w, v: F.exists(F.array(*[F.lit(r) for r in VARIANT_RATES]), lambda r: (F.abs(w - v * (1 + r)) <= 1) | (F.abs(w - v * r) <= 1))
-    distinct = F.array_distinct(amounts)
-    return F.filter(distinct, lambda w: ~F.exists(distinct, lambda v: (v != w) & derived(w, v)))
+    return once(F.array_distinct(amounts), lambda distinct: F.filter(distinct, lambda w: ~F.exists(distinct, lambda v: (v != w) & derived(w, v))))
 
 
 def converted(value: Column, currency: Column, rate: Column) -> Column:
