@@ -12,6 +12,11 @@ def content_hash(json: Column) -> Column:
     return F.sha2(F.coalesce(canonical, json), 256)
 
 
+def text_hash(text: Column) -> Column:
+    """SHA-256 of a plain text as it stands, also where it could be read as JSON."""
+    return F.sha2(text, 256)
+
+
 def new_records(incoming: DataFrame, landed: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key is neither landed nor repeated in the batch."""
     return incoming.dropDuplicates(key).join(landed.select(*key), key, "left_anti")
