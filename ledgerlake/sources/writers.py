@@ -20,7 +20,7 @@ def publish(tables: dict[str, DataFrame], folder: str, run: str) -> None:
     """
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/runs/{run}/{name}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/runs/{run}/{name}")
     spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(f"{folder}/pointers/{run}")
     pointer, fs = _path(spark, f"{folder}/pointers/{run}")
     current, _ = _path(spark, f"{folder}/current")
