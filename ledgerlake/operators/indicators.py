@@ -20,8 +20,8 @@ def concentration(flows: DataFrame, months: int = 36, min_cases: int = 5) -> Dat
 
 def single_recipient_share(flows: DataFrame, min_cases: int = 5) -> DataFrame:
     """Of a payer's flows in a class, the share with one recipient only."""
-    by_flow = flows.groupBy("payer", "o_orderpriority", "flow").agg(F.count_distinct("recipient").alias("n"))
-    out = by_flow.groupBy("payer", "o_orderpriority").agg(F.count("*").alias("cases"), F.sum((F.col("n") == 1).cast("long")).alias("single"))
+    by_flow = flows.groupBy("payer", "o_orderpriority", "flow").agg((F.min("recipient") == F.max("recipient")).alias("one"))
+    out = by_flow.groupBy("payer", "o_orderpriority").agg(F.count("*").alias("cases"), F.count_if("one").alias("single"))
     return out.where(F.col("cases") >= min_cases).withColumn("share", F.round(F.col("single") / F.col("cases"), 4))
 
 
