@@ -35,11 +35,12 @@ def match(recipients: DataFrame, register: DataFrame, threshold: float = THRESHO
     known = register.select("ico", F.col("name").alias("r_name"), F.col("person").alias("r_person"), F.lit(True).alias("there"))
     has_id = F.coalesce("ico", F.lit("")) != ""
     person, no_name = F.coalesce("person", F.lit(False)), F.coalesce("name", F.lit("")) == ""
-    by_id = recipients.where(has_id).join(known, "ico", "left")
-    alike = name_similarity(company_name(F.coalesce("name", F.lit(""))), company_name(F.coalesce("r_name", F.lit(""))))
-    valid = check_digit_ok(F.col("ico"))
+    by_id = recipients.where(has_id).withColumn("valid", check_digit_ok(F.col("ico"))).join(known, "ico", "left")
+    valid = F.col("valid")
     compared = valid & F.col("there").isNotNull() & ~person & ~no_name
-    by_id = by_id.withColumn("score", F.when(compared, alike))
+    # names that aren't compared aren't brought into form
+    by_id = by_id.withColumns({n: F.when(compared, company_name(F.coalesce(c, F.lit("")))) for n, c in (("a", "name"), ("b", "r_name"))})
+    by_id = by_id.withColumn("score", F.when(compared, name_similarity(F.col("a"), F.col("b"))))
     trusted = F.coalesce("r_person", F.lit(False)) | no_name
     category = F.when(~valid, BAD_ID).when(F.col("there").isNull(), NO_SUCH_ID).when(person | no_name, F.when(trusted, SAME_NAME).otherwise(OTHER_NAME)).when(F.col("score") >= threshold, SAME_NAME).otherwise(OTHER_NAME)
     first = by_id.select("id", category.alias("category"), F.round("score", 3).alias("similarity"), F.when(F.col("there") & valid, F.col("ico")).alias("register_ico"))

@@ -52,5 +52,5 @@ def _ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
 
 def name_similarity(a: Column, b: Column) -> Column:
     """The larger of sequence ratio and word Jaccard of two normalised names; only for pairs that blocking has found."""
-    ratio = F.pandas_udf(_ratio, "double")(a, b)
+    ratio = F.pandas_udf(_ratio, "double")(F.when(a != b, a), b)  # equal names need none
     return F.when((a == "") | (b == "") | a.isNull() | b.isNull(), 0.0).when(a == b, 1.0).otherwise(F.greatest(ratio, jaccard(F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " ")))))
