@@ -56,6 +56,17 @@ def test_windows_equal_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want and want
 
 
+def test_few_slots_and_pairs_of_ids(case):
+    window = dt.timedelta(days=pairing.AROUND_NOTICE[1] - pairing.AROUND_NOTICE[0]).days + 1
+    assert 2 * pairing.AROUND_SIGNING + 1 <= pairing.SLOT and window <= 2 * pairing.SLOT  # 2 and 3 slots at most
+    notices, parts, register = case
+    # an id that is buyer and supplier meets itself; ids meet in either order
+    own = register.sparkSession.createDataFrame([("x", True, D(2026, 2, 1), None, None, ["s1", "b1"], []), ("y", True, D(2026, 2, 1), None, None, ["b1"], [])], REGISTER)
+    same = parts.where("tender = 't2'").withColumn("suppliers", F.array(F.lit("b1"), F.lit("s1")))
+    got = sorted(tuple(r) for r in pairing.in_window(notices, same, own).collect())
+    assert got == [("t2", 1, "x"), ("t2", 1, "y")]
+
+
 def test_documented_links(case):
     got = sorted((tuple(r) for r in pairing.documented(*case).collect()), key=repr)
     assert got == [
