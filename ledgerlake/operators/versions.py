@@ -2,6 +2,10 @@
 
 A version has an entity, attributes, ``[valid_from, valid_to)`` dates and
 ``[recorded_from, recorded_to)`` times; open ends are the constants below.
+
+Versions are met by merge joins, which can spill. Any side may be as large as the versions, and Spark
+takes a side's size from its compressed files: it would broadcast tables that are many times
+larger in memory, and every task would hold them.
 """
 
 from __future__ import annotations
@@ -44,9 +48,9 @@ def upsert(versions: DataFrame, batch: DataFrame, now: Column, keys: list[str],
     condition = same[0]
     for x in same[1:]:
         condition = condition & x
-    new = once.alias("n").join(current.alias("c"), condition, "left_anti")
+    new = once.alias("n").join(current.alias("c").hint("merge"), condition, "left_anti")
     marks = new.select(*keys, F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
-    met = current.join(marks, keys, "left")
+    met = current.join(marks.hint("merge"), keys, "left")
     hit = (F.col("valid_from") < F.col("__to")) & (F.col("__from") < F.col("valid_to"))
     met = met.withColumn("__hit", F.coalesce(hit, F.lit(False)))
     open_end = F.lit(OPEN_TIME).cast("timestamp")
@@ -93,7 +97,7 @@ def correct(versions: DataFrame, given: DataFrame, now: Column, keys: list[str])
 
 def no_longer_derived(versions: DataFrame, derived: DataFrame, keys: list[str]) -> DataFrame:
     """Entities with a current version that the newest derivation lacks."""
-    return versions.where(is_current()).select(*keys).distinct().join(derived.select(*keys).distinct(), keys, "left_anti")
+    return versions.where(is_current()).select(*keys).distinct().join(derived.select(*keys).distinct().hint("merge"), keys, "left_anti")
 
 
 def overlapping(versions: DataFrame, keys: list[str]) -> DataFrame:

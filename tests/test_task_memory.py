@@ -44,3 +44,9 @@ def test_tenders_stand_in_two_slots(spark):
     assert sorted(got) == [(a, b) for a in range(400) for b in range(0, 400, 7) if abs(a - b) <= 30]
     dealt = matching.candidates(tenders, contracts, ["payer"], 30, 7)
     assert sorted((r.tender, r.contract) for r in dealt.collect()) == sorted(got) and dealt.rdd.getNumPartitions() == 7
+
+
+@pytest.mark.parametrize("name", ["B01_upsert", "B06_no_longer_derived"])
+def test_versions_are_not_broadcast(spark, name):
+    plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
