@@ -66,7 +66,7 @@ def upsert(versions: DataFrame, batch: DataFrame, now: Column, keys: list[str],
 def end_entities(versions: DataFrame, ended: DataFrame, now: Column, keys: list[str], unique: bool = False) -> DataFrame:
     """Current versions of the given entities end now; ``unique`` says that each is given once."""
     marks = ended.select(*keys, F.lit(True).alias("__end"))
-    marked = versions.join(marks if unique else marks.distinct(), keys, "left")
+    marked = versions.join((marks if unique else marks.distinct()).hint("merge"), keys, "left")
     stop = F.coalesce(F.col("__end"), F.lit(False)) & is_current()
     return marked.withColumn("recorded_to", F.when(stop, now).otherwise(F.col("recorded_to"))).drop("__end")
 
@@ -82,7 +82,7 @@ def end_with_log(versions: DataFrame, ended: DataFrame, now: Column, keys: list[
     fault = F.when(F.col("__n") > 1, F.raise_error(F.lit("an entity is ended twice in one batch"))).when(F.coalesce("reason", F.lit("")) == "", F.raise_error(F.lit("an end needs a reason")))
     once = once.select(*keys, F.coalesce(fault.cast("string"), "reason").alias("reason"), F.coalesce("replaced_by", F.array().cast(ended.schema["replaced_by"].dataType)).alias("replaced_by"))
     closed = versions.where(is_current()).groupBy(*keys).agg(F.count("*").alias("n_closed"))
-    return end_entities(versions, once.where("reason is not null"), now, keys), once.join(closed, keys).select(*keys, "n_closed", "reason", "replaced_by", run.alias("run"), now.alias("ended_at"))
+    return end_entities(versions, once.where("reason is not null"), now, keys), once.join(closed.hint("merge"), keys).select(*keys, "n_closed", "reason", "replaced_by", run.alias("run"), now.alias("ended_at"))
 
 
 def correct(versions: DataFrame, given: DataFrame, now: Column, keys: list[str]) -> DataFrame:
@@ -90,8 +90,8 @@ def correct(versions: DataFrame, given: DataFrame, now: Column, keys: list[str])
     body = [c for c in versions.columns if c not in (*keys, "recorded_from", "recorded_to")]
     state = lambda df, name: df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*body))).alias(name))
     wanted = state(given, "w")
-    differ = wanted.join(state(versions.where(is_current()), "h"), keys, "left").where(~F.col("w").eqNullSafe(F.col("h"))).select(*keys)
-    fresh = given.join(differ, keys, "left_semi").select(*keys, *body, now.alias("recorded_from"), F.lit(OPEN_TIME).cast("timestamp").alias("recorded_to"))
+    differ = wanted.join(state(versions.where(is_current()), "h").hint("merge"), keys, "left").where(~F.col("w").eqNullSafe(F.col("h"))).select(*keys)
+    fresh = given.join(differ.hint("merge"), keys, "left_semi").select(*keys, *body, now.alias("recorded_from"), F.lit(OPEN_TIME).cast("timestamp").alias("recorded_to"))
     return end_entities(versions, differ, now, keys).unionByName(fresh)
 
 

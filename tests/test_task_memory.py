@@ -46,7 +46,7 @@ def test_tenders_stand_in_two_slots(spark):
     assert sorted((r.tender, r.contract) for r in dealt.collect()) == sorted(got) and dealt.rdd.getNumPartitions() == 7
 
 
-@pytest.mark.parametrize("name", ["B01_upsert", "B06_no_longer_derived"])
+@pytest.mark.parametrize("name", ["B01_upsert", "B03_end", "B03_end_log", "B04_correct", "B06_no_longer_derived"])
 def test_versions_are_not_broadcast(spark, name):
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
