@@ -133,3 +133,14 @@ def test_record_flags(spark):
     measured = record_flags.flag_measures(record_flags.record_flags(contracts, spark.createDataFrame(rows, fields), "k"))
     m = {r.measure: (r.k, r.n) for r in measured.collect()}
     assert m["m2_mezi_bez_castky"] == (1, 2) and m["m3_mezi_citelnymi"] == (2, 2) and m["m1_ico_obe_strany_a_castka"] == (2, 4)
+
+
+def test_a_best_below_the_threshold_is_not_sought(spark):
+    """Only candidates at the threshold meet, and of them what verdicts read."""
+    notices = spark.createDataFrame([("t1",), ("t2",)], "tender string")
+    links = spark.createDataFrame([], "tender string, part int, version string, method string, exists boolean, valid boolean, buyer_agrees boolean, days int, with_number long")
+    candidates = spark.createDataFrame([("t1", 1, "v1", 0.1, 0.0, None, 0.7), ("t1", 1, "v2", 0.1, 0.5, "x", 0.9), ("t2", 1, "v3", 0.1, 0.5, "x", 0.69)], "tender string, part int, version string, date_score double, amount_score double, compared string, score double")
+    rows = pairing.verdicts(notices, links, candidates)
+    assert {r.tender: r.detail for r in rows.collect()} == {"t1": pairing.DETAILS["amount"], "t2": pairing.NONE}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "compared, " not in plan.split("min_by", 1)[1].split("\n")[0]
